@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import (
-    LAST_ID, binary_rows, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, unpacked_bits,
+    LAST_ID, binary_rows, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, trim, unpacked_bits,
 )
 
 #: Window starts that are hashed at a time: bounds the memory of one very long text.
-SLICE = 1 << 20
+SLICE = 1 << 16
 LOW = np.uint64(0xFFFF)
-CHUNK_BYTES, ANCHOR_BYTES, RECORD_BYTES, MATCH_BYTES = 6 << 20, 24 << 20, 6 << 20, 3 << 20
+CHUNK_BYTES, ANCHOR_BYTES, RECORD_BYTES, MATCH_BYTES = 4 << 20, 16 << 20, 4 << 20, 1 << 20
 ANCHORS = "chunk long, shard long, kind int, blob binary"
 
 
@@ -62,8 +62,8 @@ def word_units(texts: list[bytes], ids: np.ndarray) -> Sequence:
     start, end = edge[0::2], edge[1::2]
     at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
     values = np.empty(len(start), np.uint64)
-    for a in range(0, len(start), SLICE // 4):  # a slice of words at a time
-        b = min(len(start), a + SLICE // 4)
+    for a in range(0, len(start), SLICE):  # a slice of words at a time
+        b = min(len(start), a + SLICE)
         low, high = start[a], end[b - 1]
         c = prefix_hash(data[low:high].astype(np.uint64) + np.uint64(1))
         values[a:b] = range_hash(c, start[a:b] - low, end[a:b] - low)
@@ -287,14 +287,23 @@ def remove_repeats(docs: DataFrame, id_column: str, text_column: str, units: Cal
             kept = kept.append_column(field, pa.array(column, arrow.field(field).type))
         return kept
 
+    def light(f: Callable) -> Callable:
+        def run(*tables: pa.Table) -> pa.Table:
+            try:
+                return f(*tables)
+            finally:
+                trim()
+
+        return (lambda rows: run(rows)) if f.__code__.co_argcount == 1 else (lambda rows, answers: run(rows, answers))
+
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     extra = StructType.fromDDL(out_fields)
     arrow, result = to_arrow_schema(extra), StructType(plain.schema.fields + extra.fields)
-    anchors = dealt.groupBy("chunk").applyInArrow(send_anchors, ANCHORS)
-    answers = anchors.groupBy("shard").applyInArrow(shared_anchors, ANCHORS)
-    records = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(send_records, ANCHORS)
-    masks = records.groupBy("shard").applyInArrow(lambda rows: matched(rows, matcher, length), ANCHORS)
-    out = dealt.groupBy("chunk").cogroup(answers.unionByName(masks).groupBy("chunk")).applyInArrow(done, result)
+    anchors = dealt.groupBy("chunk").applyInArrow(light(send_anchors), ANCHORS)
+    answers = anchors.groupBy("shard").applyInArrow(light(shared_anchors), ANCHORS)
+    records = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(light(send_records), ANCHORS)
+    masks = records.groupBy("shard").applyInArrow(light(lambda rows: matched(rows, matcher, length)), ANCHORS)
+    out = dealt.groupBy("chunk").cogroup(answers.unionByName(masks).groupBy("chunk")).applyInArrow(light(done), result)
     return out.toDF(*names, *[f.name for f in extra.fields])
