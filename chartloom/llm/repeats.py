@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import (
-    LAST_ID, binary_rows, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, trim, unpacked_bits,
+    LAST_ID, binary_rows, mix, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, trim, unpacked_bits,
 )
 
 #: Window starts that are hashed at a time: bounds the memory of one very long text.
@@ -106,7 +106,8 @@ def records_of(seq: Sequence, length: int, gram: int) -> Records:
             continue
         stop = np.append(np.flatnonzero(fresh)[1:], b - a)[np.searchsorted(np.flatnonzero(fresh), at)]
         stop = np.minimum(stop, seq.first[doc[at] + 1] - length + 1 - a)
-        parts.append((least[at] >> np.uint64(16), at + a, stop - at, range_hash(c, at, stop + length - 1), doc[at]))
+        anchor = mix(least[at] >> np.uint64(16)) >> np.uint64(16)  # smallest hashes are not spread evenly; these are
+        parts.append((anchor, at + a, stop - at, range_hash(c, at, stop + length - 1), doc[at]))
     if not parts:
         none = np.zeros(0, np.int64)
         return Records(none.astype(np.uint64), none, none, none.astype(np.uint64), none)
