@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import fm_index, suffix_array
+from chartloom.llm import fm_index, langid, simhash, suffix_array, toxicity
 from chartloom.llm.common import table
 
 
@@ -15,13 +15,29 @@ def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.digest(suffix_array.suffix_array_dedup(docs))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fm_index.digest(fm_index.fm_index_dedup(docs))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.digest(simhash.simhash_components(docs))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.cross_parse_language(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffix_array": op1_suffix_array, "op4_fm_index": op4_fm_index}
+    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language}
 
 
 def oracle_sql() -> dict[str, str]:
