@@ -16,6 +16,7 @@ through whatever their names.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections.abc import Iterator
@@ -29,11 +30,11 @@ from pyspark.sql.types import StructType
 
 from chartloom.llm.common import positional
 
-ROWS, CHARS, SAMPLED = 256, 40_000, 20_000
+ROWS, CHARS, SAMPLED = 256, 20_000, 20_000
 UNKNOWN = "und"
 LETTER, LETTERS = re.compile(r"[^\W\d_]"), re.compile(r"[^\W\d_]+")
 #: Words kept with their phrase counts in a worker; longer words are parsed anew each time.
-CACHE, LONG_WORD = 200_000, 48
+CACHE, LONG_WORD = 100_000, 48
 
 
 class SuffixAutomaton:
@@ -146,7 +147,7 @@ class Parser:
         return self.langs[best], float(1 - cost[best] / max(rest.min(), 1.0)) if len(rest) else 1.0
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def parser(texts: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(texts))
 
@@ -158,6 +159,7 @@ def identify(docs: DataFrame, model: dict[str, str], text_column: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(texts)
+        gc.freeze()  # a model lives as long as its worker
         for batch in batches:
             found = [own.predict(t) for t in batch.column(at).to_pylist()]
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
