@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chartloom.llm import fm_index, langid, simhash, suffix_array, toxicity
+from chartloom.llm import fm_index, langid, packing, simhash, suffix_array, toxicity, url_reputation
 from chartloom.llm.common import table
 
 
@@ -21,6 +22,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.best_fit_pack(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fm_index.digest(fm_index.fm_index_dedup(docs))
@@ -36,9 +42,16 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.cross_parse_language(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_reputation.judge(pages, labels.select(F.col("doc_id").alias("id"), bad.alias("bad"))).select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language}
+    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op3_packing": op3_packing, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language, "op10_url_reputation": op10_url_reputation}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_url_reputation": url_reputation.oracle()}
