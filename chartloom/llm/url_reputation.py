@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path, verdict): a rule fits the host, its subdomains and paths that start with its own.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -45,9 +47,9 @@ def rule_match(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return rule, verdict
 
 
-def strength(groups: DataFrame, share: str) -> DataFrame:
-    """One row: pseudo-counts of the prior, from the spread of groups (n, k) around their parents' share."""
-    p = F.col(share)
+def strength(groups: DataFrame) -> float:
+    """Pseudo-counts of the prior, from the spread of groups (n, k) around their parents' share: one number."""
+    p = F.col("prior")
     found = groups.where("n > 0").agg(
         F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("q"), F.count("*").alias("g"),
         F.sum(F.col("n") * (F.col("k") / F.col("n") - p) * (F.col("k") / F.col("n") - p)).alias("s"), F.sum(F.col("n") * p * (1 - p)).alias("v"),
@@ -55,25 +57,26 @@ def strength(groups: DataFrame, share: str) -> DataFrame:
     within = F.col("v") / F.col("t")
     rho = (F.col("s") - (F.col("g") - 1) * within) / ((F.col("t") - F.col("q") / F.col("t") - (F.col("g") - 1)) * within)
     weight = F.when((F.col("g") < 2) | (within <= 0) | (F.col("t") - F.col("q") / F.col("t") - (F.col("g") - 1) <= 0) | (rho <= 0), F.lit(STRONGEST)).otherwise(1 / rho - 1)
-    return found.select(F.coalesce(F.least(F.greatest(weight, F.lit(WEAKEST)), F.lit(STRONGEST)), F.lit(STRONGEST)).alias("m"))
+    return found.select(F.coalesce(F.least(F.greatest(weight, F.lit(WEAKEST)), F.lit(STRONGEST)), F.lit(STRONGEST)).alias("m")).first()["m"]
 
 
 def reputation(visits: DataFrame) -> DataFrame:
     """visits(host, n, k: labelled pages and bad ones) -> host, share (posterior mean) and lower (its bound)."""
     hosts = visits.groupBy("host").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    hosts = hosts.withColumn("domain", F.regexp_extract("host", "([^.]*[.])?[^.]*$", 0)).withColumn("suffix", F.regexp_extract("host", "[^.]*$", 0))
+    hosts = written(hosts, "hosts").withColumn("domain", F.regexp_extract("host", "([^.]*[.])?[^.]*$", 0)).withColumn("suffix", F.regexp_extract("host", "[^.]*$", 0))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    overall = suffixes.agg(F.sum("n").alias("tn"), F.sum("k").alias("tk")).select(F.when(F.col("tn") > 0, F.col("tk") / F.col("tn")).otherwise(F.lit(0.0)).alias("prior"))
+    overall = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
+    prior = overall["k"] / overall["n"] if overall["n"] else 0.0
 
-    def shrunk(groups: DataFrame) -> DataFrame:
-        with_m = groups.crossJoin(F.broadcast(strength(groups, "prior")))  # one row
-        alpha, total = F.col("k") + F.col("m") * F.col("prior"), F.col("n") + F.col("m")
-        return with_m.withColumn("share", alpha / total).withColumn("weight", total)
+    def shrunk(groups: DataFrame, keep: str) -> DataFrame:
+        m = strength(groups)
+        total = F.col("n") + m
+        return groups.select(keep, ((F.col("k") + m * F.col("prior")) / total).alias("share"), total.alias("weight"))
 
-    s = shrunk(suffixes.crossJoin(F.broadcast(overall))).select("suffix", F.col("share").alias("prior"))
-    d = shrunk(domains.join(s, "suffix")).select("domain", F.col("share").alias("prior"))
-    h = shrunk(hosts.join(d, "domain"))
+    s = written(shrunk(suffixes.withColumn("prior", F.lit(prior)), "suffix"), "suffixes").select("suffix", F.col("share").alias("prior"))
+    d = written(shrunk(domains.join(s, "suffix"), "domain"), "domains").select("domain", F.col("share").alias("prior"))
+    h = shrunk(hosts.join(d, "domain"), "host")
     return h.select("host", "share", (F.col("share") - Z * F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("weight") + 1))).alias("lower"))
 
 
