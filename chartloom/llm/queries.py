@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import fm_index, langid, packing, simhash, suffix_array, toxicity, url_reputation, warc
+from chartloom.llm import decontamination, fm_index, langid, packing, simhash, suffix_array, toxicity, url_reputation, warc
 from chartloom.llm.common import table
 
 
@@ -47,6 +47,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.latent_decontamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
@@ -55,7 +60,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op3_packing": op3_packing, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_warc": op7_warc, "op10_url_reputation": op10_url_reputation}
+    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op3_packing": op3_packing, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination, "op10_url_reputation": op10_url_reputation}
 
 
 def oracle_sql() -> dict[str, str]:
