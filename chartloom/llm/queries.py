@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import decontamination, fm_index, langid, packing, simhash, suffix_array, toxicity, url_reputation, warc
+from chartloom.llm import chroma, decontamination, fm_index, langid, packing, simhash, suffix_array, toxicity, url_reputation, warc
 from chartloom.llm.common import table
 
 
@@ -52,6 +52,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.latent_decontamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op9_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test tables hold no recordings: each embedding is played as a melody and fingerprinted as audio."""
+    media = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = chroma.align(media, "vec_id", "embedding", chroma.melody)
+    return found.select(F.col("id").alias("vec_id"), "n_prints", "class_id", "links", F.transform("matches", lambda m: m["class_id"]).alias("match_ids"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
@@ -60,7 +73,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op3_packing": op3_packing, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination, "op10_url_reputation": op10_url_reputation}
+    return {"op1_suffix_array": op1_suffix_array, "op2_toxicity": op2_toxicity, "op3_packing": op3_packing, "op4_fm_index": op4_fm_index, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination, "op9_chroma": op9_chroma, "op10_url_reputation": op10_url_reputation, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
