@@ -4,8 +4,9 @@ A recording is mono samples. Frames become twelve pitch-class energies; an integ
 over them gives any rectangle's sum at once; sixteen rectangle filters, each quantised to
 two Gray-coded bits, make a 32-bit integer per frame. Recordings with equal integer
 sequences are one class. Query recordings (ids divisible by `every`) find, among all
-classes, those that share integers: a histogram of offsets per pair of classes, and where
-an offset has `hits` equal integers the bit error rate over the overlap decides.
+classes, those that share integers, taken in pairs a few frames apart: a histogram of offsets per
+pair of classes, and where the offset of most hits has `hits` of them the bit error rate
+over the overlap decides.
 
 Defined results: null media, NaN samples and recordings too short for one integer have no
 prints, a class of their own and no matches; a null id gets a null class; equal recordings
@@ -30,7 +31,7 @@ RATE, FRAME, HOP = 4000, 256, 128
 LOWEST, CLASSES, WIDTH = 110.0, 12, 16
 #: Steps between the four levels of a filter.
 LEVELS = np.array([-0.35, 0.0, 0.35])
-HITS, ERRORS, OVERLAP, EVERY = 3, 0.15, 24, 50
+HITS, ERRORS, OVERLAP, EVERY, PAIR = 2, 0.15, 24, 50, 6
 NOTE = 256
 
 
@@ -113,10 +114,13 @@ def fingerprints(media: DataFrame, id_column: str, media_column: str, decode: Ca
 
 
 def postings(classes: DataFrame, name: str) -> DataFrame:
+    """A row for each pair of integers PAIR frames apart: single ones meet by chance too often."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, blobs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            values = [np.frombuffer(b, "<u4").astype(np.int64) for b in blobs]
+            ints = [np.frombuffer(b, "<u4").astype(np.int64) for b in blobs]
+            values = [(v[:-PAIR] << 32) | v[PAIR:] for v in ints]
             sizes = [len(v) for v in values]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.concatenate(values) if values else [], pa.int64()), pa.array(np.concatenate([np.arange(n) for n in sizes]) if sizes else [], pa.int64())], [name, "value", f"{name}_at"])
 

@@ -34,11 +34,15 @@ CAPACITY, SHARD, END = 2048, 50_000, 0
 
 
 @lru_cache(maxsize=1)
-def encoders(path: str) -> tuple[Tokenizer, tiktoken.Encoding, list[str]]:
-    """The tokenizer of a byte-level BPE file, and a faster reader of the same vocabulary for text without special tokens."""
+def tokenizer_of(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=1)
+def fast_reader(path: str) -> tuple[tiktoken.Encoding, list[str]]:
+    """A faster reader of a byte-level BPE file, for text without its special tokens, and these."""
     import public_tokenizers
 
-    slow = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         told = json.load(f)
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -46,13 +50,13 @@ def encoders(path: str) -> tuple[Tokenizer, tiktoken.Encoding, list[str]]:
     byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
     special = [t["content"] for t in told["added_tokens"]]
     ranks = {bytes(byte[c] for c in token): i for token, i in told["model"]["vocab"].items() if token not in special}
-    return slow, tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), special
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), special
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
-    slow, fast, special = encoders(path)
+    fast, special = fast_reader(path)
     if any(s in text for s in special):
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(tokenizer_of(path).encode(text, add_special_tokens=False).ids, np.uint32)
     return np.array(fast.encode_ordinary(text), np.uint32)
 
 
