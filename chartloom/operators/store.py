@@ -134,7 +134,7 @@ def counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("ord")
 
 
-def fingerprint(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+def fingerprint(df: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
     """Order-independent digest of rows: hashes of rows, sorted and hashed."""
     columns = sorted(c for c in df.columns if c not in without)
     row = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))

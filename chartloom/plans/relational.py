@@ -321,3 +321,27 @@ sql_query("missing_sections", "SELECT o_orderkey, flag FROM (SELECT o_orderkey,
 sql_query("accuracy_by_field", "SELECT field, count(*) AS total, count(CASE WHEN truth = guess THEN 1 END) AS correct, round(count(CASE WHEN truth = guess THEN 1 END) / CAST(count(*) AS DOUBLE), 6) AS accuracy FROM (SELECT 'quality' AS field, quality AS truth, CASE WHEN n_chars > 300 THEN 1 ELSE 0 END AS guess FROM labels JOIN documents ON labels.doc_id = documents.doc_id UNION ALL SELECT 'toxic', toxic, 0 FROM labels) AS x GROUP BY field".replace("labels.doc_id = documents.doc_id", "doc_id = id").replace("JOIN documents ON", "JOIN (SELECT doc_id AS id, n_chars FROM documents) AS dd ON"))
 sql_query("spurious_rows", "SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) AS t WHERE rn > 3")
 sql_query("truth_match", "SELECT o_orderkey, coalesce(m.l_partkey, -1) AS found FROM orders LEFT JOIN (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) AS m ON m.l_orderkey = o_orderkey AND m.rn = 1")
+
+
+def served(spark: SparkSession, d: str) -> SparkSession:
+    from chartloom.operators.serve import serving_session
+
+    return serving_session(spark, {"v_encounter_summary": encounter_summary(spark, d).withColumn("kinds", F.array("effective_type"))})
+
+
+@query("SELECT c_name, count(*) AS visits, sum(n)::BIGINT AS lines FROM orders JOIN customer ON o_custkey = c_custkey JOIN (SELECT o_orderkey AS k, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1) ON k = o_orderkey GROUP BY c_name ORDER BY visits DESC, c_name LIMIT 20")
+def guarded_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Q1 to Q4: a query that the guard lets through, in the serving session."""
+    from chartloom.operators.serve import guarded
+
+    session = served(spark, d)
+    text = guarded(session, "WITH v AS (SELECT c_name, n_lines FROM v_encounter_summary) SELECT c_name, count(*) AS visits, sum(n_lines) AS lines FROM v GROUP BY c_name ORDER BY visits DESC, c_name LIMIT 20")
+    return session.sql(text)
+
+
+@query()
+def schema_describe(spark: SparkSession, d: str) -> DataFrame:
+    """S11, Q7."""
+    from chartloom.operators.serve import described
+
+    return spark.createDataFrame(described(encounter_summary(spark, d).schema), "name string, type string, mode string, comment string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 #: Table layouts, as DDL.
 DDL: dict[str, str] = {
@@ -21,7 +21,8 @@ DDL: dict[str, str] = {
     "ingest_runs": "run_id string, document_id string, gcs_uri string, trigger_source string, status string, started_at timestamp, finished_at timestamp, encounters_written bigint, issues_warn bigint, issues_error bigint, pipeline_version string, error_detail string",
     "ref_drug_class": "drug_name string, drug_class string, is_anti_inflammatory boolean",
 }
-SCHEMAS = {name: StructType.fromDDL(ddl) for name, ddl in DDL.items()}
+TYPES = {"string": StringType, "bigint": LongType, "double": DoubleType, "boolean": BooleanType, "date": DateType, "timestamp": TimestampType}
+SCHEMAS = {name: StructType([StructField(c, TYPES[t]()) for c, t in (x.strip().split(" ") for x in ddl.split(","))]) for name, ddl in DDL.items()}
 
 #: The key of each table.
 MERGE_KEYS: dict[str, tuple[str, ...]] = {
