@@ -71,9 +71,10 @@ def guarded(spark: SparkSession, query: str, views: tuple[str, ...] = VIEWS) ->
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """Bytes of the files under the optimised plan's leaves."""
+    """Bytes of the files under the optimised plan's leaves; rows already in memory cost no scan."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "Relation" in leaves.apply(i).getClass().getSimpleName() and "Local" not in leaves.apply(i).getClass().getSimpleName()]
+    return sum(int(str(leaf.stats().sizeInBytes())) for leaf in scans)
 
 
 def plain(value):

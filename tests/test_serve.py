@@ -8,8 +8,11 @@ from chartloom.sources import files
 
 
 @pytest.fixture(scope="module")
-def served(spark):
-    view = spark.createDataFrame([("p1", datetime.date(2025, 7, 2), [("a", 1)])], "mrn string, encounter_date date, items array<struct<k: string, n: int>>")
+def served(spark, tmp_path_factory):
+    path = f"file://{tmp_path_factory.mktemp('views')}/v"
+    made = spark.createDataFrame([("p1", datetime.date(2025, 7, 2), [("a", 1)])], "mrn string, encounter_date date, items array<struct<k: string, n: int>>")
+    made.write.parquet(path)
+    view = spark.read.parquet(path)
     spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("base_table")
     return serve.serving_session(spark, {"v_encounter_summary": view, "v_patient_timeline": view})
 
