@@ -58,6 +58,11 @@ def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*[f"_c{i}" for i in range(len(names))]), names
 
 
+def giving_way(df: DataFrame, *results: str) -> DataFrame:
+    """df without columns named like an operator's results."""
+    return df.drop(*results)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser; equal inputs stay equal, nearby ones spread out."""
     x = x ^ (x >> np.uint64(32))

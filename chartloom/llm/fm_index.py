@@ -8,7 +8,8 @@ one block of suffixes that share those words, whose smallest document decides.
 
 Defined results: null text has no words; a null id counts as larger than any other;
 rows of one id do not remove each other's words; an empty table gives an empty result;
-other columns pass through whatever their names.
+other columns pass
+through, those named like a result give way to it.
 """
 
 from __future__ import annotations

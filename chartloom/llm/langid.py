@@ -11,7 +11,7 @@ Prediction covers whole texts.
 Defined results: null text and text without a letter give `und` and score 0; languages tied
 go to the one first in the alphabet; without any labelled row all is `und`; a null id
 counts as empty text for the fold; an empty table gives an empty result; other columns pass
-through whatever their names.
+through, those named like a result give way to it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chartloom.llm.common import positional
+from chartloom.llm.common import giving_way, positional
 
 ROWS, CHARS, SAMPLED = 256, 20_000, 20_000
 UNKNOWN = "und"
@@ -154,7 +154,7 @@ def parser(texts: tuple[tuple[str, str], ...]) -> Parser:
 
 def identify(docs: DataFrame, model: dict[str, str], text_column: str = "text") -> DataFrame:
     """docs plus lang_pred and score (0 to 1: how much cheaper the language is than the next)."""
-    plain, names = positional(docs)
+    plain, names = positional(giving_way(docs, "lang_pred", "score"))
     at, texts = names.index(text_column), tuple(model.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

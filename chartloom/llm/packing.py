@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chartloom.llm.common import parts_for, positional, written
+from chartloom.llm.common import giving_way, parts_for, positional, written
 
 CAPACITY, SHARD, END = 2048, 50_000, 0
 
@@ -72,7 +72,7 @@ def pieces_of(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int]]:
 
 def tokenised(docs: DataFrame, id_column: str, text_column: str, path: str, capacity: int) -> DataFrame:
     """A row for each piece: the other columns, piece, start, length, ids_crc32."""
-    plain, names = positional(docs)
+    plain, names = positional(giving_way(docs, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
     at = names.index(text_column)
     kept = [f for i, f in enumerate(plain.schema.fields) if i != at]
     fields = "piece int, start long, length long, ids_crc32 long"
@@ -195,11 +195,9 @@ def best_fit_pack(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = written(tokenised(docs, id_column, text_column, tokenizer, capacity), "pieces")
-    rows = pieces.count()
-    shards = parts_for(rows, shard)
-    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    plain, names = positional(pieces.select(*own))
+    plain, names = positional(tokenised(docs, id_column, text_column, tokenizer, capacity))
+    plain = written(plain, "pieces")
+    shards = parts_for(plain.count(), shard)
     at = {c: f"_c{names.index(c)}" for c in ("piece", "start", "length", "ids_crc32")}
     place = F.xxhash64(f"_c{names.index(id_column)}", at["piece"], at["ids_crc32"])
     dealt = plain.withColumn("shard", F.pmod(place, F.lit(shards)))

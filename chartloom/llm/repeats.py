@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import (
-    LAST_ID, binary_rows, mix, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, trim, unpacked_bits,
+    LAST_ID, binary_rows, giving_way, mix, packed_bits, parts_for, positional, prefix_hash, range_hash, total_bytes, trim, unpacked_bits,
 )
 
 #: Window starts that are hashed at a time: bounds the memory of one very long text.
@@ -255,6 +255,11 @@ def remove_repeats(docs: DataFrame, id_column: str, text_column: str, units: Cal
     """Apply steps 1 to 4. finish(chunk, removed) yields, per document in the chunk's order, the values of out_fields."""
     if length - gram + 1 > 63:
         raise ValueError("a record must have fewer than 64 windows")
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    extra = StructType.fromDDL(out_fields)
+    docs = giving_way(docs, *extra.fieldNames())
     plain, names = positional(docs)
     key, text = f"_c{names.index(id_column)}", f"_c{names.index(text_column)}"
     size = total_bytes(docs, text_column)
@@ -297,10 +302,6 @@ def remove_repeats(docs: DataFrame, id_column: str, text_column: str, units: Cal
 
         return (lambda rows: run(rows)) if f.__code__.co_argcount == 1 else (lambda rows, answers: run(rows, answers))
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    extra = StructType.fromDDL(out_fields)
     arrow, result = to_arrow_schema(extra), StructType(plain.schema.fields + extra.fields)
     anchors = dealt.groupBy("chunk").applyInArrow(light(send_anchors), ANCHORS)
     answers = anchors.groupBy("shard").applyInArrow(light(shared_anchors), ANCHORS)

@@ -1,9 +1,10 @@
 """Operator 5: SimHash near-duplicates through covering locality-sensitive hashing.
 
 Each of the 64 bit places gets a label of r + 1 bits. For every non-zero vector v of
-r + 1 bits, the mask of v keeps the places whose label has an even number of bits in
-common with v. Any r places have a common such v (their labels span a space of at most
-r dimensions), so fingerprints within r bits agree under one of the 2**(r+1) - 1 masks.
+r + 1 bits, the mask of v keeps the places whose label has an odd number of bits in
+common with v. The labels of any r places span at most r dimensions, so some v is
+orthogonal to all of them and its mask keeps none of the r: fingerprints within r bits
+agree under one of the 2**(r+1) - 1 masks.
 
 Fingerprints are made distinct first: a group of copies is one fingerprint, however
 large. A bucket's links are found by looking up each fingerprint's neighbours under the
@@ -38,10 +39,10 @@ SHINGLES_AT_ONCE = 1 << 14
 
 
 def covering_masks(radius: int, family: int = 0) -> list[int]:
-    """The 2**(radius+1) - 1 masks. Labels run through all values in turn, from another start and step in each family."""
-    size = 1 << (radius + 1)
-    label = [(i * (2 * family + 1) + i // size * family + family) % size for i in range(BITS)]
-    return [sum(1 << i for i in range(BITS) if (label[i] & v).bit_count() % 2 == 0) for v in range(1, size)]
+    """The 2**(radius+1) - 1 masks. Labels run through all non-zero values in turn, in another order in each family."""
+    labels = (1 << (radius + 1)) - 1
+    label = [1 + (i * (family + 1) + i // labels * family) % labels for i in range(BITS)]
+    return [sum(1 << i for i in range(BITS) if (label[i] & v).bit_count() % 2) for v in range(1, labels + 1)]
 
 
 def signed(x: int) -> int:

@@ -6,7 +6,7 @@ that also starts in a document of smaller id. Matches never cross documents.
 Defined results: null or empty text has no bytes and keeps none; a null id counts as
 larger than any other; rows of one id are no smaller than each other, so neither
 removes the other's bytes; an empty table gives an empty result; other columns pass
-through whatever their names.
+through, those named like a result give way to it.
 """
 
 from __future__ import annotations

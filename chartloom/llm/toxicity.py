@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chartloom.llm.common import positional
+from chartloom.llm.common import giving_way, positional
 from chartloom.llm.langid import fold
 
 TOXIC_ROWS, CLEAN_ROWS, LEXICON, EXCEPTIONS = 6_000, 9_000, 4_000, 1_000
@@ -179,7 +179,7 @@ def learned(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str
 
 def score(docs: DataFrame, lexicon: Lexicon, text_column: str = "text") -> DataFrame:
     """docs plus score."""
-    plain, names = positional(docs)
+    plain, names = positional(giving_way(docs, "score"))
     at = names.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
