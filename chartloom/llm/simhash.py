@@ -49,11 +49,11 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint(text: bytes, words: int) -> int:
+def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
     found = text.lower().split()
     if not found:
         return 0
-    h = partial(xxhash.xxh64_intdigest, seed=42)
+    h = partial(xxhash.xxh64_intdigest, seed=seed)
     if len(found) < words:
         return h(b" ".join(found))
     parts = [found[i:] for i in range(words)]
@@ -66,12 +66,12 @@ def fingerprint(text: bytes, words: int) -> int:
     return int(np.packbits((ones * 2 > n).astype(np.uint8), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
     """(id, fp): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [signed(fingerprint(t, words)) for t in binary_rows(batch.column(1))]
+            values = [signed(fingerprint(t, words, seed)) for t in binary_rows(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["id", "fp"])
 
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t"))
@@ -158,18 +158,45 @@ def fingerprint_links(distinct: DataFrame, radius: int, bucket: int = BUCKET) ->
     return small.unionByName(bucket_links(split, ["v1", "k1", "v2", "k2"], radius))
 
 
-def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """(id, fp, component): the smallest id reachable over links of at most `radius` differing bits."""
+def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, radius: int = 2, more_seeds: tuple[int, ...] = ()) -> DataFrame:
+    """(id, fp, component): the smallest id reachable over links of at most `radius` differing bits.
+
+    With more seeds, documents also link where a fingerprint of another hash seed lies
+    within the radius: each seed finds pairs that chance has put further apart in others.
+    """
     every = written(fingerprints(docs, id_column, text_column, words), "fingerprints")
-    known = every.where("id is not null")
-    classes = written(known.groupBy("fp").agg(F.min("id").alias("first")), "classes")
-    links = fingerprint_links(classes, radius)
+    classes = written(every.where("id is not null").groupBy("fp").agg(F.min("id").alias("first")), "classes")
     first = classes.select("fp", "first")
-    edges = links.join(first.toDF("x", "a"), "x").join(first.toDF("y", "b"), "y").select("a", "b")
+    edges = fingerprint_links(classes, radius).join(first.toDF("x", "a"), "x").join(first.toDF("y", "b"), "y").select("a", "b")
+    for seed in more_seeds:
+        own = written(fingerprints(docs, id_column, text_column, words, seed).join(first.select(F.col("first").alias("id")), "id", "left_semi"), "fingerprints")
+        least = written(own.groupBy("fp").agg(F.min("id").alias("first")), "classes").select("fp", "first")
+        edges = edges.unionByName(own.join(least, "fp").where("id != first").select(F.col("id").alias("a"), F.col("first").alias("b")))
+        edges = edges.unionByName(fingerprint_links(least, radius).join(least.toDF("x", "a"), "x").join(least.toDF("y", "b"), "y").select("a", "b"))
     joined = components(edges)
     found = classes.join(joined.withColumnRenamed("node", "first"), "first", "left").select("fp", F.coalesce("component", "first").alias("component"))
     return every.join(found, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
+def shingles(text: bytes, words: int) -> set[bytes]:
+    found = text.lower().split()
+    return {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def similar(pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """pairs(id, a, b) of texts -> the ids whose two sets of shingles have at least this Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = []
+            for i, a, b in zip(batch.column(0).to_pylist(), binary_rows(batch.column(1)), binary_rows(batch.column(2)), strict=True):
+                x, y = (shingles(a, words), shingles(b, words)) if a != b else ({b""}, {b""})
+                if len(x & y) >= least * len(x | y):
+                    hit.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64())], ["id"])
+
+    return pairs.select("id", "a", "b").mapInArrow(run, "id long")
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
