@@ -178,25 +178,5 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     return every.join(found, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
-def shingles(text: bytes, words: int) -> set[bytes]:
-    found = text.lower().split()
-    return {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
-
-
-def similar(pairs: DataFrame, words: int, least: float) -> DataFrame:
-    """pairs(id, a, b) of texts -> the ids whose two sets of shingles have at least this Jaccard similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = []
-            for i, a, b in zip(batch.column(0).to_pylist(), binary_rows(batch.column(1)), binary_rows(batch.column(2)), strict=True):
-                x, y = (shingles(a, words), shingles(b, words)) if a != b else ({b""}, {b""})
-                if len(x & y) >= least * len(x | y):
-                    hit.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64())], ["id"])
-
-    return pairs.select("id", "a", "b").mapInArrow(run, "id long")
-
-
 def digest(found: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
