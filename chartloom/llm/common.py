@@ -119,6 +119,22 @@ def unpacked_bits(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(blob, np.uint8), count=n).astype(bool)
 
 
+MODELS: list = []
+
+
+def model(cached):
+    """Mark a worker's cached model as one that a later operator may drop."""
+    MODELS.append(cached)
+    return cached
+
+
+def forget_models() -> None:
+    """Drop what earlier operators left in this worker."""
+    for cached in MODELS:
+        cached.cache_clear()
+    trim()
+
+
 def trim() -> None:
     """Give freed memory back to the system: workers live on, and an executor counts them all."""
     pa.default_memory_pool().release_unused()

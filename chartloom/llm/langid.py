@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chartloom.llm.common import giving_way, positional
+from chartloom.llm.common import giving_way, model, positional
 
 ROWS, CHARS, SAMPLED = 256, 20_000, 20_000
 UNKNOWN = "und"
@@ -147,6 +147,7 @@ class Parser:
         return self.langs[best], float(1 - cost[best] / max(rest.min(), 1.0)) if len(rest) else 1.0
 
 
+@model
 @lru_cache(maxsize=1)
 def parser(texts: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(texts))
