@@ -180,3 +180,18 @@ def fm_index_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def digest(found: DataFrame) -> DataFrame:
     removed = F.aggregate("word_spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def oracle() -> str:
+    """The digest in DuckDB SQL: every window of 13 words with the least document it starts in."""
+    return r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t)),
+l AS (SELECT g, min(doc_id) AS least FROM s GROUP BY g HAVING count(*) > 1),
+b AS (SELECT s.doc_id, s.i FROM s JOIN l USING (g) WHERE l.least < s.doc_id),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t),
+c AS (SELECT p.doc_id, p.i, p.word, count(b.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) > 0 AS gone FROM p LEFT JOIN b ON p.doc_id = b.doc_id AND p.i = b.i),
+a AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(a.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(a.kept, '')) AS kept_sha256
+FROM t LEFT JOIN a USING (doc_id)
+"""

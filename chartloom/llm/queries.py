@@ -77,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_reputation": url_reputation.oracle()}
+    return {"op1_suffix_array": suffix_array.oracle(), "op4_fm_index": fm_index.oracle(), "op7_warc": warc.oracle(), "op10_url_reputation": url_reputation.oracle()}

@@ -111,3 +111,21 @@ def suffix_array_dedup(docs: DataFrame, id_column: str = "doc_id", text_column:
 def digest(found: DataFrame) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def oracle() -> str:
+    """The digest in DuckDB SQL: every 50-byte string with the least document it starts in."""
+    return """
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT doc_id, b, octet_length(b) AS n_bytes FROM t),
+s AS (SELECT doc_id, i, array_slice(b, i, i + 49) AS g FROM (SELECT doc_id, b, unnest(range(1, n_bytes - 48)) AS i FROM n)),
+l AS (SELECT g, min(doc_id) AS least FROM s GROUP BY g HAVING count(*) > 1),
+w AS (SELECT s.doc_id, s.i FROM s JOIN l USING (g) WHERE l.least < s.doc_id),
+p AS (SELECT doc_id, unnest(range(1, n_bytes + 1)) AS i FROM n),
+c AS (SELECT p.doc_id, p.i, count(w.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone FROM p LEFT JOIN w ON p.doc_id = w.doc_id AND p.i = w.i),
+e AS (SELECT doc_id, i, gone, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS before FROM c),
+a AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (gone AND NOT before) AS n_spans FROM e GROUP BY doc_id),
+k AS (SELECT c.doc_id, string_agg(hex(array_slice(n.b, c.i, c.i)), '' ORDER BY c.i) AS h FROM c JOIN n USING (doc_id) WHERE NOT c.gone GROUP BY c.doc_id)
+SELECT n.doc_id, n.n_bytes::BIGINT AS n_bytes, coalesce(a.n_removed, 0)::BIGINT AS n_removed, coalesce(a.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM n LEFT JOIN a USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

@@ -222,3 +222,16 @@ def lookup(archive: Archive, urls: list[str]) -> DataFrame:
 def read_archive(archive: Archive) -> DataFrame:
     """Every record, by way of the index."""
     return read_records(archive, captures_of(archive.blocks))
+
+
+def oracle() -> str:
+    """The records in DuckDB SQL; five hexadecimal digits are four of base32."""
+    return """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
