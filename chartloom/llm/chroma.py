@@ -3,10 +3,13 @@
 A recording is mono samples. Frames become twelve pitch-class energies; an integral image
 over them gives any rectangle's sum at once; sixteen rectangle filters, each quantised to
 two Gray-coded bits, make a 32-bit integer per frame. Recordings with equal integer
-sequences are one class. Query recordings (ids divisible by `every`) find, among all
-classes, those that share integers, taken in pairs a few frames apart: a histogram of offsets per
-pair of classes, and where the offset of most hits has `hits` of them the bit error rate
-over the overlap decides.
+sequences are one class. Query recordings (ids divisible by `every`) meet all classes: an
+integer counts as a hit where any one of its four `PARTS` of 16 bits is the same, which
+survives bit errors that no whole integer does. Every offset with `hits` hits, and `SHARE` of
+its overlap, is tested by
+the bit error rate over its overlap; of the offsets that stand, the one of most hits is
+reported. Queries go round in groups of at most `GROUP` integers and are looked up while
+the classes stream by, so chance hits are counted in place and never become rows.
 
 Defined results: null media, NaN samples and recordings too short for one integer have no
 prints, a class of their own and no matches; a null id gets a null class; equal recordings
@@ -25,13 +28,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import written
+from chartloom.llm.common import parts_for, written
 
 RATE, FRAME, HOP = 4000, 256, 128
 LOWEST, CLASSES, WIDTH = 110.0, 12, 16
 #: Steps between the four levels of a filter.
 LEVELS = np.array([-0.35, 0.0, 0.35])
-HITS, ERRORS, OVERLAP, EVERY, PAIR = 2, 0.15, 24, 50, 6
+HITS, ERRORS, OVERLAP, EVERY = 2, 0.15, 24, 50
+#: The 16 bits of each part of an integer: low, high, inner and outer.
+PARTS = (0x0000FFFF, 0xFFFF0000, 0x00FFFF00, 0xFF0000FF)
+#: Hits for each integer of the overlap below which an offset is not tested; 15 % of independent bit errors leave 0.3.
+SHARE = 0.1
+#: Integers of queries that are looked up at a time, and hits that are counted at a time.
+GROUP, HITS_AT_ONCE = 1 << 18, 1 << 21
 NOTE = 256
 
 
@@ -113,35 +122,66 @@ def fingerprints(media: DataFrame, id_column: str, media_column: str, decode: Ca
     return media.select(F.col(id_column).cast("long").alias("id"), F.col(media_column).alias("media")).mapInArrow(run, "id long, prints binary")
 
 
-def postings(classes: DataFrame, name: str) -> DataFrame:
-    """A row for each pair of integers PAIR frames apart: single ones meet by chance too often."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, blobs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ints = [np.frombuffer(b, "<u4").astype(np.int64) for b in blobs]
-            values = [(v[:-PAIR] << 32) | v[PAIR:] for v in ints]
-            sizes = [len(v) for v in values]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.concatenate(values) if values else [], pa.int64()), pa.array(np.concatenate([np.arange(n) for n in sizes]) if sizes else [], pa.int64())], [name, "value", f"{name}_at"])
-
-    return classes.mapInArrow(run, f"{name} long, value long, {name}_at long")
-
-
-def bit_errors(pairs: DataFrame) -> DataFrame:
-    """pairs(q, c, shift, a, b) -> with overlap and the share of differing bits there."""
+class Queries:
+    """Prints of query classes, to be looked up by parts."""
+
+    def __init__(self, ids: list[int], blobs: list[bytes]) -> None:
+        self.ids, self.prints = ids, [np.frombuffer(b, "<u4") for b in blobs]
+        self.sizes = np.array([len(x) for x in self.prints], np.int64)
+        every = np.concatenate(self.prints)
+        self.owner = np.repeat(np.arange(len(ids)), self.sizes)
+        self.at = np.arange(len(every)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.order = [np.argsort(every & np.uint32(m), kind="stable") for m in PARTS]
+        self.sorted = [(every & np.uint32(m))[o] for m, o in zip(PARTS, self.order, strict=True)]
+
+    def offsets(self, x: np.ndarray, hits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, shift, hits) of all offsets of x with enough hits."""
+        base = np.concatenate([[0], np.cumsum(self.sizes + len(x))])
+        votes = np.zeros(int(base[-1]), np.int64)
+        for m, order, known in zip(PARTS, self.order, self.sorted, strict=True):
+            value = x & np.uint32(m)
+            low, high = np.searchsorted(known, value), np.searchsorted(known, value, side="right")
+            chunk = np.cumsum(high - low) // HITS_AT_ONCE
+            for a, b in zip(*(np.searchsorted(chunk, np.unique(chunk), side=side) for side in ("left", "right")), strict=True):
+                n = (high - low)[a:b]
+                hit = order[np.arange(n.sum()) + np.repeat(low[a:b] - (np.cumsum(n) - n), n)]
+                q = self.owner[hit]
+                np.add.at(votes, base[q] + self.at[hit] - np.repeat(np.arange(a, b), n) + len(x), 1)
+        found = np.flatnonzero(votes >= hits)
+        q = np.searchsorted(base, found, side="right") - 1
+        return q, found - base[q] - len(x), votes[found]
+
+
+def overlapping(a: np.ndarray, b: np.ndarray, shift: int) -> tuple[int, float]:
+    """Length of the overlap where a begins shift integers before b, and the share of differing bits there."""
+    x, y = a[max(0, shift) :], b[max(0, -shift) :]
+    n = min(len(x), len(y))
+    return n, float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0
+
+
+def alignments(classes: DataFrame, queries: Queries, hits: int, most_errors: float, least_overlap: int) -> DataFrame:
+    """classes(class_id, prints) -> (q, c, shift, errors) of the queries that each class aligns with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for shift, a, b in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-                x, y = x[max(0, shift) :], y[max(0, -shift) :]
-                n = min(len(x), len(y))
-                rows.append((n, float(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n) if n else 1.0))
-            overlap, errors = zip(*rows, strict=True) if rows else ([], [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(overlap, pa.int64()), pa.array(errors, pa.float64())], ["q", "c", "shift", "overlap", "errors"])
-
-    return pairs.select("q", "c", "shift", "a", "b").mapInArrow(run, "q long, c long, shift long, overlap long, errors double")
+            for c, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(blob, "<u4")
+                q, shift, n = queries.offsets(x, hits)
+                room = np.minimum(queries.sizes[q] - np.maximum(shift, 0), len(x) - np.maximum(-shift, 0))
+                best: dict[int, tuple[int, int, float]] = {}
+                for i in np.flatnonzero((room >= least_overlap) & (n >= (SHARE * room).astype(np.int64))).tolist():
+                    j = int(q[i])
+                    if queries.ids[j] == c:
+                        continue
+                    _, errors = overlapping(queries.prints[j], x, int(shift[i]))
+                    if errors <= most_errors:
+                        best[j] = max(best.get(j, (0, 0, 0.0)), (int(n[i]), -int(shift[i]), errors))
+                rows += [(queries.ids[j], c, -s, e) for j, (_, s, e) in best.items()]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["q", "c", "shift", "errors"])
+
+    return classes.select("class_id", "prints").mapInArrow(run, "q long, c long, shift long, errors double")
 
 
 def align(media: DataFrame, id_column: str, media_column: str, decode: Callable = wav_samples, every: int = EVERY, hits: int = HITS, most_errors: float = ERRORS, least_overlap: int = OVERLAP) -> DataFrame:
@@ -151,11 +191,13 @@ def align(media: DataFrame, id_column: str, media_column: str, decode: Callable
     classes = written(known.groupBy("prints").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("asked")), "classes")
     stored = classes.select("class_id", "prints")
     asked = classes.where("asked").select("class_id", "prints")
-    met = postings(asked, "q").join(postings(stored, "c"), "value").where("q != c")
-    aligned = met.groupBy("q", "c", (F.col("q_at") - F.col("c_at")).alias("shift")).agg(F.count("*").alias("n")).where(F.col("n") >= hits)
-    best = aligned.groupBy("q", "c").agg(F.max(F.struct("n", (-F.col("shift")).alias("s"))).alias("m")).select("q", "c", (-F.col("m.s")).alias("shift"))
-    pairs = best.join(asked.toDF("q", "a"), "q").join(stored.toDF("c", "b"), "c")
-    right = bit_errors(pairs).where((F.col("errors") <= most_errors) & (F.col("overlap") >= least_overlap))
+    groups = parts_for(int(asked.agg(F.sum(F.octet_length("prints") / 4)).first()[0] or 0), GROUP)
+    right = media.sparkSession.createDataFrame([], "q long, c long, shift long, errors double")
+    for group in range(groups):
+        own = asked.where(F.pmod(F.xxhash64("class_id"), F.lit(groups)) == group).orderBy("class_id").collect()
+        if own:
+            queries = Queries([r["class_id"] for r in own], [bytes(r["prints"]) for r in own])
+            right = right.unionByName(alignments(stored, queries, hits, most_errors, least_overlap))
     found = right.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("class_id"), "shift", "errors"))).alias("matches"))
     query = F.col("id") % every == 0
     base = every_row.join(stored, "prints", "left").select("id", (F.octet_length("prints") / 4).cast("long").alias("n_prints"), F.when(F.octet_length("prints") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"))

@@ -353,6 +353,29 @@ def test_op9_reads_wav_and_forgives_noise():
     assert np.bitwise_count(a ^ b).sum() / (32 * len(a)) < 0.05
 
 
+def noisy(x, rate, r):
+    """Integers with each bit wrong at this rate."""
+    return x ^ ((r.random((len(x), 32)) < rate) * (1 << np.arange(32, dtype=np.uint64))).sum(axis=1).astype(np.uint32)
+
+
+def test_op9_recalls_what_brute_force_finds(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    tunes = [chroma.prints(*chroma.melody(r.normal(size=64).tolist())) for _ in range(24)]
+    clips = [(10_001 + 50 * i, noisy(t[: (24, 40, 70, 112)[i % 4]], (0.05, 0.1, 0.13)[i % 3], r)) for i, t in enumerate(tunes)]
+    every = [(50 * i, t) for i, t in enumerate(tunes)] + clips
+    want = set()
+    for q, a in every[:24]:
+        for c, b in every:
+            if q != c and any(n >= 24 and e <= 0.15 for n, e in (chroma.overlapping(a, b, s) for s in range(24 - len(b), len(a) - 23))):
+                want.add((q, c))
+    assert len(want) >= 20
+    given = lambda media, *_: media.select("id", F.col("x").alias("prints"))
+    monkeypatch.setattr(chroma, "fingerprints", given)
+    media = spark.createDataFrame([(i, bytearray(x.astype("<u4").tobytes())) for i, x in every], "id long, x binary")
+    got = {(row["id"], m["class_id"]) for row in chroma.align(media, "id", "x").collect() for m in row["matches"] or []}
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
 def test_op10_rules_and_reputation(spark):
     rows = [(1, "https://es.EXAMPLE.org/es/a?x#y"), (2, "http://example.org/en/12"), (3, "http://example.org/en/2"), (4, "http://x.com/de/"), (5, "http://notexample.org"), (6, None), (7, "nothing"), (8, "a://b://c/d"), (9, "http://x.com/fr")]
     rows += [(100 + i, f"http://bad.spam.net/{i}") for i in range(40)] + [(200 + i, f"http://h{i % 7}.fine.net/{i}") for i in range(60)]
