@@ -313,6 +313,29 @@ def test_op8_finds_copies_and_leaves_others(spark):
     assert decontamination.latent_decontamination(d, b.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 7, 8, 10, 12, 14, 20])
+def test_op8_finds_short_items(spark, n):
+    r = random.Random(n)
+    words = [f"v{i}" for i in range(3000)]
+    docs, want = [], set()
+    items = [r.sample(words, n) for _ in range(20)]
+    background = [f"u{i}" for i in range(3000)]
+    for i in range(120):
+        body = r.choices(background, k=r.randint(60, 200))
+        if i % 2:
+            copy = list(items[i // 2 % 20])
+            if n >= 8 and i % 4 == 1:
+                for k in r.sample(range(n), n // 5):
+                    copy[k] = "other"
+            at = r.randint(0, len(body))
+            body[at:at] = copy
+            want.add((i, i // 2 % 20))
+        docs.append((i, " ".join(body)))
+    bench = spark.createDataFrame([(j, " ".join(x)) for j, x in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.latent_decontamination(spark.createDataFrame(docs, SCHEMA), bench).collect()}
+    assert want <= got if n > 1 else want == got
+
+
 def test_common_subsequence():
     for _ in range(50):
         a, b = [rng.randint(0, 4) for _ in range(rng.randint(0, 12))], [rng.randint(0, 4) for _ in range(rng.randint(0, 12))]
