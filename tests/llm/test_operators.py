@@ -336,6 +336,16 @@ def test_op8_finds_short_items(spark, n):
     assert want <= got if n > 1 else want == got
 
 
+def test_op8_searches_every_text_of_an_id(spark):
+    r = random.Random(8)
+    some = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    texts = [some(30) for _ in range(6)]
+    docs = spark.createDataFrame([(i, f"{some(60)} {t} {some(60)}") for i, t in enumerate(texts)] + [(9, some(150))], SCHEMA)
+    bench = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[5])], "item_id long, text string")
+    got = sorted(((x["doc_id"], x["item_id"]) for x in decontamination.latent_decontamination(docs, bench).collect()))
+    assert got == [(0, 1), (1, 1), (2, 2), (3, None), (4, None), (5, None)]
+
+
 def test_common_subsequence():
     for _ in range(50):
         a, b = [rng.randint(0, 4) for _ in range(rng.randint(0, 12))], [rng.randint(0, 4) for _ in range(rng.randint(0, 12))]
