@@ -16,6 +16,8 @@ MASK64 = (1 << 64) - 1
 PRIME = 0x9E3779B97F4A7C15 | 1
 PRIME_INV = pow(PRIME, -1, 1 << 64)
 LAST_ID = (1 << 63) - 1
+#: Folders of the tables that `written` made and that were not discarded.
+WRITTEN: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir. One of our own only where that is unset and Spark runs in one process."""
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir")
     if not configured:
         configured = context.getCheckpointDir()
     if not configured:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = f"file://{tempfile.mkdtemp(prefix='chartloom-')}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
@@ -40,9 +44,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables that nothing reads any more."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(hadoop).delete(at, True)
+        WRITTEN.remove(path)
+
+
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of a text or binary column, from one aggregate over the whole table."""
     return int(df.agg(F.sum(F.octet_length(F.col(column))).alias("n")).first()["n"] or 0)

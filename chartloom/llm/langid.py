@@ -5,10 +5,10 @@ each automaton, word by word, into the fewest longest matches; phrases are weigh
 the logarithm of the automaton's size, and the language with the smallest total wins.
 
 The automata are fitted on a bounded sample: of each language the row of smallest hash in
-each of `rows` hash buckets, and of those at most `chars` characters of distinct words.
-Prediction covers whole texts.
+each of `rows` hash buckets, whole; of the distinct words of these the ones that most rows
+have, up to `chars` characters. Prediction covers whole texts.
 
-Defined results: null text and text without a letter give `und` and score 0; languages tied
+Defined results: null text and text without a letter (Unicode L) give `und` and score 0; languages tied
 go to the one first in the alphabet; without any labelled row all is `und`; a null id
 counts as empty text for the fold; an empty table gives an empty result; other columns pass
 through, those named like a result give way to it.
@@ -18,23 +18,23 @@ from __future__ import annotations
 
 import gc
 import math
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chartloom.llm.common import giving_way, model, positional
 
-ROWS, CHARS, SAMPLED = 256, 20_000, 20_000
+ROWS, CHARS = 256, 20_000
 UNKNOWN = "und"
-LETTER, LETTERS = re.compile(r"[^\W\d_]"), re.compile(r"[^\W\d_]+")
-#: Words kept with their phrase counts in a worker; longer words are parsed anew each time.
-CACHE, LONG_WORD = 100_000, 48
+LETTER, LETTERS = regex.compile(r"\p{L}"), regex.compile(r"\p{L}+")
+#: Phrase counts kept in a worker, and words, whichever is fewer; longer words are parsed anew each time.
+CELLS, CACHE, LONG_WORD = 400_000, 100_000, 48
 
 
 class SuffixAutomaton:
@@ -95,16 +95,15 @@ def labelled_words(train: DataFrame, id_column: str, text_column: str, label_col
     if not wanted:
         return {}
     chosen = train.sparkSession.createDataFrame([(x,) for x in wanted], "h long")
-    picked = base.withColumn("h", h).join(F.broadcast(chosen), "h", "left_semi").select("h", F.col(label_column).alias("lang"), F.substring(text_column, 1, SAMPLED).alias("text"))
-    out: dict[str, dict[str, None]] = {}
-    size: dict[str, int] = {}
-    for row in sorted(picked.collect(), key=lambda r: (r["h"], r["lang"], r["text"])):
-        words = out.setdefault(row["lang"], {})
-        for word in LETTERS.findall(row["text"].lower()):
-            if word not in words and size.get(row["lang"], 0) < chars:
-                words[word] = None
-                size[row["lang"]] = size.get(row["lang"], 0) + len(word) + 1
-    return {lang: " " + " ".join(words) + " " for lang, words in sorted(out.items()) if words}
+    picked = base.withColumn("h", h).join(F.broadcast(chosen), "h", "left_semi").select(F.col(label_column).alias("lang"), F.col(text_column).alias("text"))
+    each = picked.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word"))
+    counted = each.groupBy("lang", "word").count()
+    first = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
+    reach = F.sum(F.length("word") + 1).over(first.rowsBetween(Window.unboundedPreceding, 0))
+    out: dict[str, list[str]] = {}
+    for row in counted.withColumn("reach", reach).where(F.col("reach") <= chars).orderBy("lang", "reach").collect():
+        out.setdefault(row["lang"], []).append(row["word"])
+    return {lang: " " + " ".join(words) + " " for lang, words in sorted(out.items())}
 
 
 class Parser:
@@ -115,7 +114,8 @@ class Parser:
         self.automata = [SuffixAutomaton(t) for t in texts.values()]
         self.weight = np.array([math.log2(len(t) + 1) for t in texts.values()])
         self.known: dict[str, int] = {}
-        self.costs = np.zeros((CACHE, len(self.langs)), np.uint16)
+        self.most = min(CACHE, CELLS // max(1, len(texts)))
+        self.costs = np.zeros((self.most, len(self.langs)), np.uint16)
 
     def parse(self, word: str) -> list[int]:
         runs = LETTERS.findall(word)
@@ -129,7 +129,7 @@ class Parser:
                 if len(word) > LONG_WORD:
                     extra += self.parse(word)
                     continue
-                if len(known) == CACHE:
+                if len(known) == self.most:
                     extra += self.costs[at].sum(axis=0, dtype=np.int64)
                     at = []
                     known.clear()

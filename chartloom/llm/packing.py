@@ -4,8 +4,8 @@ Documents are tokenised where they lie; only piece lengths are dealt, by a hash
 place, into shards of about `shard` pieces. A shard is packed best-fit decreasing. Then
 bins with room left are searched: pieces of the least filled bin move to others, or are
 exchanged one for one or two for one, whenever that raises the sum of squared fills, until
-the bin is empty or nothing helps. Each shard ends with the fewest bins that this finds;
-its lower bound is its tokens divided by the capacity.
+the bin is empty or nothing helps. Partners are found through bit sets of lengths by room.
+The search ends at a lower bound of bins, or after a stated number of look-ups.
 
 Defined results: null text is empty text and gives one piece of the end token; documents
 longer than the capacity are cut into full pieces, the first piece takes the remainder;
@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import json
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ from tokenizers import Tokenizer
 from chartloom.llm.common import giving_way, parts_for, positional, written
 
 CAPACITY, SHARD, END = 2048, 50_000, 0
+#: Look-ups of the local search in a shard, at most.
+EFFORT = 2_000_000
 
 
 @lru_cache(maxsize=1)
@@ -119,64 +122,139 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Empty the least filled bins by moves and exchanges that raise the sum of squared fills."""
-    fill = [int(lengths[b].sum()) for b in bins]
-    bound = -(-sum(fill) // capacity)
-    open_bins = sorted((capacity - f, b) for b, f in enumerate(fill) if f < capacity)  # by room
+def fewest(lengths: np.ndarray, capacity: int) -> int:
+    """A lower bound of bins: for each t up to half the capacity, pieces over capacity - t stand alone,
+    others over half do too, and what pieces from t on exceed the room beside those needs bins of its own."""
+    count = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    n, total = np.cumsum(count[::-1])[::-1], np.cumsum((count * np.arange(capacity + 1))[::-1])[::-1]
+    n, total = np.append(n, [0, 0]), np.append(total, [0, 0])  # of pieces of this length and more
+    t, half = np.arange(capacity // 2 + 1), capacity // 2 + 1
+    alone, above = n[capacity - t + 1], n[half]
+    beside = (above - alone) * capacity - (total[half] - total[capacity - t + 1])  # room beside pieces of half to capacity - t
+    rest = np.maximum(0, total[t] - total[half] - beside)
+    return int(np.max(above + -(-rest // capacity), initial=0))
+
+
+class Bins:
+    """Bins by room, and under each room the lengths of their pieces as a bit set: partners are looked up, not tried."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int) -> None:
+        self.size, self.capacity = lengths.tolist(), capacity
+        self.pieces: list[dict[int, list[int]]] = []  # of each bin: length -> pieces
+        self.fill: list[int] = []
+        self.rooms = 0  # bit set of the rooms of bins that are neither empty nor full
+        self.held: dict[int, dict[int, set[int]]] = {}  # room -> length -> bins
+        self.lengths: dict[int, int] = {}  # room -> bit set of lengths
+        for members in bins:
+            own: dict[int, list[int]] = {}
+            for i in members:
+                own.setdefault(self.size[i], []).append(i)
+            self.pieces.append(own)
+            self.fill.append(sum(self.size[i] for i in members))
+            self.enter(len(self.fill) - 1)
+        self.heap = [(f, b) for b, f in enumerate(self.fill) if f < capacity]
+        heapify(self.heap)
+
+    def enter(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        if room and self.pieces[b]:
+            self.rooms |= 1 << room
+            held = self.held.setdefault(room, {})
+            for length in self.pieces[b]:
+                held.setdefault(length, set()).add(b)
+                self.lengths[room] = self.lengths.get(room, 0) | 1 << length
+
+    def leave(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        held = self.held.get(room, {})
+        for length in self.pieces[b]:
+            if b in held.get(length, ()):
+                held[length].discard(b)
+                if not held[length]:
+                    del held[length]
+                    self.lengths[room] &= ~(1 << length)
+        if room in self.held and not held:
+            del self.held[room], self.lengths[room]
+            self.rooms &= ~(1 << room)
+
+    def move(self, source: int, target: int, give: tuple[int, ...], take: tuple[int, ...] = ()) -> None:
+        """Pieces of these lengths change places."""
+        for b in (source, target):
+            self.leave(b)
+        for a, b, lengths in ((source, target, give), (target, source, take)):
+            for length in lengths:
+                own = self.pieces[a][length]
+                self.pieces[b].setdefault(length, []).append(own.pop())
+                if not own:
+                    del self.pieces[a][length]
+                self.fill[a] -= length
+                self.fill[b] += length
+        for b in (source, target):
+            self.enter(b)
+        if self.fill[target] < self.capacity:
+            heappush(self.heap, (self.fill[target], target))
+
+    def other(self, bins: set[int], source: int) -> int | None:
+        return next((b for b in islice(bins, 2) if b != source), None)
+
+    def step(self, source: int) -> tuple[bool, int]:
+        """One move, one-for-one or two-for-one exchange out of the source that raises the sum of squared fills; and the look-ups made."""
+        own, fill, tried = sorted(self.pieces[source], reverse=True), self.fill[source], 0
+        for length in own:  # the tightest room, as far as its bin ends up above what the source was
+            above = self.rooms >> length
+            while above:
+                tried += 1
+                room = length + (above & -above).bit_length() - 1
+                if self.capacity - room + length <= fill:
+                    break
+                target = next((b for bins in self.held[room].values() if (b := self.other(bins, source)) is not None), None)
+                if target is not None:
+                    self.move(source, target, (length,))
+                    return True, tried
+                above &= above - 1
+        gifts = {length: (length,) for length in own}
+        for i, x in enumerate(own):
+            for y in own[i:]:
+                if x != y or len(self.pieces[source][x]) > 1:
+                    gifts.setdefault(x + y, (x, y))
+        for room in sorted(self.held):  # full bins first
+            known, short = self.lengths[room], max(1, fill - (self.capacity - room) + 1)
+            for total, give in gifts.items():  # the target gains total - t, from `short` to `room`
+                tried += 1
+                least = max(0, total - room)
+                fit = (known & ((1 << max(0, total - short + 1)) - 1)) >> least
+                while fit:
+                    length = least + (fit & -fit).bit_length() - 1
+                    target = self.other(self.held[room][length], source)
+                    if target is not None:
+                        self.move(source, target, give, (length,))
+                        return True, tried
+                    fit &= fit - 1
+        return False, tried
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, effort: int = EFFORT) -> list[list[int]]:
+    """Empty the least filled bins by moves and exchanges that raise the sum of squared fills.
+
+    Ends when the lower bound is met, when no bin has anything to gain, or after `effort`
+    look-ups: the packing is whole at any time.
+    """
+    bound = fewest(lengths, capacity)
     alive = len(bins)
-    stuck: set[int] = set()
-
-    def put(b: int, out: list[int], into: list[int]) -> None:
-        at = bisect_left(open_bins, (capacity - fill[b], b))
-        if at < len(open_bins) and open_bins[at] == (capacity - fill[b], b):
-            open_bins.pop(at)
-        for i in out:
-            bins[b].remove(i)
-        bins[b].extend(into)
-        fill[b] += int(lengths[into].sum()) - int(lengths[out].sum()) if into or out else 0
-        if bins[b] and fill[b] < capacity:
-            insort(open_bins, (capacity - fill[b], b))
-
-    def step(source: int) -> bool:
-        """One move, one-for-one or two-for-one exchange out of the source; False if none raises the squares."""
-        own = sorted(bins[source], key=lambda i: -lengths[i])
-        for i in own:
-            at = bisect_left(open_bins, (int(lengths[i]), -1))
-            for room, b in open_bins[at : at + 2]:
-                if b != source and fill[b] + lengths[i] > fill[source] - lengths[i]:
-                    put(source, [i], [])
-                    put(b, [], [i])
-                    return True
-        outs = [[i] for i in own] + [[i, j] for x, i in enumerate(own) for j in own[x + 1 :]]
-        for room, b in open_bins:
-            if b == source:
-                continue
-            theirs = sorted(bins[b], key=lambda i: lengths[i])
-            sizes = [int(lengths[i]) for i in theirs]
-            best = None
-            for out in outs:  # give `out`, take one smaller piece: the target gains 1 to `room` tokens
-                gives = int(lengths[out].sum())
-                at = bisect_left(sizes, gives - room)
-                if at < len(sizes) and sizes[at] < gives and fill[b] + gives - sizes[at] > fill[source]:
-                    best = max(best or (0,), (gives - sizes[at], out, theirs[at]))
-            if best:
-                put(source, best[1], [best[2]])
-                put(b, [best[2]], best[1])
-                return True
-        return False
-
-    while alive > bound:
-        source = next((b for _, b in reversed(open_bins) if b not in stuck), None)
-        if source is None:
-            break
-        while bins[source] and step(source):
-            pass
-        if bins[source]:
-            stuck.add(source)
-        else:
-            alive -= 1
-    return [b for b in bins if b]
+    if alive <= bound:
+        return bins
+    state = Bins(bins, lengths, capacity)
+    while alive > bound and state.heap and effort > 0:
+        fill, source = heappop(state.heap)
+        if fill != state.fill[source]:
+            continue  # it changed since
+        while state.pieces[source]:
+            went, tried = state.step(source)
+            effort -= tried
+            if not went or effort <= 0:
+                break
+        alive -= not state.pieces[source]
+    return [[i for own in b.values() for i in own] for b in state.pieces if b]
 
 
 def packed(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +277,7 @@ def best_fit_pack(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     plain = written(plain, "pieces")
     shards = parts_for(plain.count(), shard)
     at = {c: f"_c{names.index(c)}" for c in ("piece", "start", "length", "ids_crc32")}
-    place = F.xxhash64(f"_c{names.index(id_column)}", at["piece"], at["ids_crc32"])
+    place = F.xxhash64(F.monotonically_increasing_id(), at["ids_crc32"])  # rows of one id or text spread; a written table's rows keep their places
     dealt = plain.withColumn("shard", F.pmod(place, F.lit(shards)))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -43,8 +43,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.lookup(warc.write_archive(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

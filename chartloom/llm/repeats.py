@@ -85,7 +85,7 @@ class Records:
     anchor: np.ndarray  # 48-bit hash
     first: np.ndarray
     count: np.ndarray
-    content: np.ndarray  # 64-bit hash of all units covered
+    content: np.ndarray  # 64-bit hash of all units covered: proposes equal records, never decides
     doc: np.ndarray  # index of the document
 
 
@@ -150,19 +150,34 @@ class Chunk:
     def sent(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Records of repeated anchors; of each content the first one's index among the sent; the sent by shard; where shards begin."""
         r = np.flatnonzero(repeated[self.of])
-        _, first, back = np.unique(self.records.content[r], return_index=True, return_inverse=True)
+        first, back = np.unique(self.equal_text(r), return_inverse=True)
         send = r[first]  # the first has the smallest id
         by = np.argsort(self.records.anchor[send], kind="stable")
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
         return r, place[back], send[by], np.searchsorted(self.records.anchor[send[by]], self.cuts(1))
 
+    def place_of(self, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and end of records."""
+        s, rec = self.seq, self.records
+        low, high = rec.first[r], rec.first[r] + rec.count[r] + self.length - 1
+        return (low, high) if s.start is None else (s.start[low], s.end[high - 1])
+
+    def equal_text(self, r: np.ndarray) -> np.ndarray:
+        """For each of the records the place in r of the first one of the same bytes. Hashes propose, bytes decide."""
+        _, first, back = np.unique(self.records.content[r], return_index=True, return_inverse=True)
+        same, (low, high) = first[back], self.place_of(r)
+        data, other = memoryview(self.seq.data), {}
+        for i in np.flatnonzero(same != np.arange(len(r))).tolist():
+            j, own = same[i], data[low[i] : high[i]]
+            if own != data[low[j] : high[j]]:
+                same[i] = other.setdefault(own.tobytes(), i)
+        return same
+
     def record_blobs(self, repeated: np.ndarray) -> Iterator[tuple[int, bytes]]:
         _, _, send, at = self.sent(repeated)
         s, rec = self.seq, self.records
-        low, high = rec.first[send], rec.first[send] + rec.count[send] + self.length - 1
-        if s.start is not None:
-            low, high = s.start[low], s.end[high - 1]
+        low, high = self.place_of(send)
         data = memoryview(s.data)
         for shard in np.flatnonzero(np.diff(at)):
             own = slice(at[shard], at[shard + 1])

@@ -1,7 +1,8 @@
 """Operator 2: toxicity by a weighted lexicon, matched with Aho-Corasick.
 
 Text is lower-cased, homoglyphs and accents become plain letters, digits and signs that
-stand for letters become those letters, and all else becomes spaces. The automaton then
+stand for letters become those letters in words that hold a letter (other digits stay as
+they are), and all else becomes spaces. The automaton then
 finds lexicon entries (whole words, or beginnings of words) and exception phrases; a hit
 inside an exception phrase does not count. Hits are summed by weight and normalised by
 length, and a logistic curve gives the score.
@@ -20,9 +21,11 @@ whatever their names.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -44,6 +47,8 @@ HOMOGLYPHS = {
 }
 #: Digits and signs that stand for letters.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "€": "e", "|": "l"}
+AS_LETTERS = str.maketrans(SUBSTITUTES)
+AS_SPACES = str.maketrans({c: " " for c in SUBSTITUTES if not c.isdigit()})
 
 
 class Folding(dict):
@@ -52,10 +57,10 @@ class Folding(dict):
     def __missing__(self, code: int) -> str:
         ch = chr(code).lower()
         if ch in HOMOGLYPHS or ch in SUBSTITUTES:
-            out = HOMOGLYPHS.get(ch) or SUBSTITUTES[ch]
+            out = HOMOGLYPHS.get(ch) or ch
         else:
             plain = "".join(x for x in unicodedata.normalize("NFKD", ch).lower() if x.isalnum())
-            out = "".join(HOMOGLYPHS.get(x, SUBSTITUTES.get(x, x)) for x in plain) or ("" if unicodedata.category(ch) in ("Cf", "Mn") else " ")
+            out = "".join(HOMOGLYPHS.get(x, x) for x in plain) or ("" if unicodedata.category(ch) in ("Cf", "Mn") else " ")
         self[code] = out
         return out
 
@@ -64,8 +69,16 @@ FOLDING = Folding()
 
 
 def folded(text: str | None) -> list[str]:
-    """Words after folding. A sign that stands for a letter counts only beside one."""
-    return [w for w in (text or "").lower().translate(FOLDING).split()]
+    """Words after folding. A digit or sign stands for a letter only in a word that holds a letter; else signs are spaces."""
+    out: list[str] = []
+    for word in (text or "").lower().translate(FOLDING).split():
+        if word.isalpha():
+            out.append(word)
+        elif any(c.isalpha() for c in word):
+            out.append(word.translate(AS_LETTERS))
+        else:
+            out += word.translate(AS_SPACES).split()
+    return out
 
 
 class Lexicon(NamedTuple):
@@ -92,8 +105,10 @@ def measures(lexicon: Lexicon, text: str | None) -> tuple[float, ...]:
     if lexicon.entries or lexicon.exceptions:
         for end, (size, weight) in automaton(lexicon).iter(f" {' '.join(words)} "):
             (excused if weight is None else hits).append((end - size + 1, end, weight))
-    if excused:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)]
+    if excused:  # of the phrases that begin no later than a hit, does the one that reaches furthest hold it?
+        excused.sort()
+        begins, reach = [a for a, _, _ in excused], list(accumulate((b for _, b, _ in excused), max))
+        hits = [h for h in hits if not (i := bisect_right(begins, h[0])) or reach[i - 1] < h[1]]
     best: dict[int, float] = {}
     for start, _, weight in hits:  # of entries that begin at one word, the heaviest
         best[start] = max(best.get(start, 0.0), weight)

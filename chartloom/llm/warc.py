@@ -7,8 +7,9 @@ revisits of it.
 
 The index holds a capture (reversed-host key, page, segment, offset, length) per record,
 sorted, in compressed blocks of `BLOCK` captures, and apart from them a sparse directory of
-each block's first and last key. A lookup searches the directory by bisection, opens only
-the blocks it names and there bisects again; records are then read by range.
+each block's first and last key. A look-up deals wanted keys and directory into sections by
+bisection of a bounded list of cuts, finds each key's blocks by bisection of its section,
+opens only these and there bisects again; records are then read by range.
 
 Defined results: null payload is empty; null url has the empty key and no target header;
 pages with a null id are responses; rows that repeat id and payload give a response, if
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import binary_rows, parts_for, total_bytes, trim, written
 
 BLOCK, SEGMENT_BYTES = 128, 4 << 20
-#: Urls that one lookup takes at most; they are broadcast.
-QUERIES = 10_000
+#: Keys that part the directory into sections, at most; they go with every task of a look-up.
+CUTS = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURE = "key string, page_id long, segment long, offset long, length long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -172,20 +173,63 @@ def opened(captures: bytes) -> list[tuple[str, int | None, int, int, int]]:
     return [tuple(json.loads(line)) for line in zlib.decompress(captures).decode().split("\n")]
 
 
-def captures_of(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Captures in blocks; with sorted keys, only theirs, found by bisection."""
+def sections_of(directory: DataFrame) -> list[str]:
+    """Every so many-th first key of the directory, `CUTS` at most: a directory of the directory that every task may hold."""
+    entries = directory.count()
+    if not entries:
+        return []
+    ranked = directory.select("first").repartitionByRange(parts_for(entries, CUTS), "first").sortWithinPartitions("first")
+    each = parts_for(entries, CUTS // 2)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            at = [i for i in range(batch.num_rows) if (seen + i) % each == each - 1]
+            seen += batch.num_rows
+            yield batch.take(pa.array(at, pa.int64()))
+
+    return sorted({r["first"] for r in ranked.mapInArrow(thin, "first string").collect()})
+
+
+def wanted_blocks(directory: DataFrame, keys: DataFrame) -> DataFrame:
+    """(block, key) of the wanted keys: sections by bisection, then in each section blocks by bisection of its part of the directory."""
+    cuts = sections_of(directory)
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(s, *row) for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for s in range(bisect_left(cuts, row[1]), bisect_left(cuts, row[2]) + 1)]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string() if i else pa.int64()) for i, x in enumerate(columns)], ["section", "block", "first", "last"])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([bisect_left(cuts, k) for k in batch.column(0).to_pylist()], pa.int64()), batch.column(0)], ["section", "key"])
+
+    def meet(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
+        entry = sorted(zip(*(blocks.column(c).to_pylist() for c in ("first", "last", "block")), strict=True))
+        firsts, lasts = [e[0] for e in entry], [e[1] for e in entry]  # blocks are disjoint but for shared ends, so both are in order
+        rows = [(entry[i][2], k) for k in wanted.column("key").to_pylist() for i in range(bisect_left(lasts, k), bisect_right(firsts, k))]
+        columns = list(zip(*rows, strict=True)) or [[]] * 2
+        return pa.table({"block": pa.array(columns[0], pa.string()), "key": pa.array(columns[1], pa.string())})
+
+    placed = directory.select("block", "first", "last").mapInArrow(entries, "section long, block string, first string, last string")
+    sought = keys.select("key").distinct().mapInArrow(asked, "section long, key string")
+    return placed.groupBy("section").cogroup(sought.groupBy("section")).applyInArrow(meet, "block string, key string")
+
+
+def captures_of(blocks: DataFrame) -> DataFrame:
+    """Captures of blocks(captures, keys): in each opened block the sorted keys are found by bisection; null keys stand for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cell in batch.column(0).to_pylist():
+            for cell, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = opened(cell)
-                if keys is not None:
-                    own = [c[0] for c in found]
-                    found = [c for k in keys[bisect_left(keys, own[0]) : bisect_right(keys, own[-1])] for c in found[bisect_left(own, k) : bisect_right(own, k)]]
+                own = [c[0] for c in found]
+                found = found if keys is None else [c for k in keys for c in found[bisect_left(own, k) : bisect_right(own, k)]]
                 columns = list(zip(*found, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.string() if not i else pa.int64()) for i, x in enumerate(columns)], ["key", "page_id", "segment", "offset", "length"])
 
-    return blocks.select("captures").mapInArrow(run, CAPTURE)
+    return blocks.select("captures", "keys").mapInArrow(run, CAPTURE)
 
 
 def read_records(archive: Archive, captures: DataFrame) -> DataFrame:
@@ -203,25 +247,27 @@ def read_records(archive: Archive, captures: DataFrame) -> DataFrame:
     return archive.segments.select("segment", "data").groupBy("segment").cogroup(captures.groupBy("segment")).applyInArrow(read, RECORD)
 
 
-def lookup(archive: Archive, urls: list[str]) -> DataFrame:
-    """Records of up to QUERIES urls: directory first, then their blocks, then ranges of segments."""
-    keys = sorted({surt(u) for u in urls})
-    if len(keys) > QUERIES:
-        raise ValueError(f"at most {QUERIES} urls in one lookup")
+def keyed(urls: DataFrame, url_column: str) -> DataFrame:
+    """(key) of each url."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            hit = [b for b, first, last in rows if bisect_left(keys, first) < bisect_right(keys, last)]
-            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.string())], ["block"])
+            yield pa.RecordBatch.from_arrays([pa.array([surt(u) for u in batch.column(0).to_pylist()], pa.string())], ["key"])
+
+    return urls.select(url_column).distinct().mapInArrow(run, "key string")
+
 
-    named = archive.directory.select("block", "first", "last").mapInArrow(run, "block string")
-    return read_records(archive, captures_of(archive.blocks.join(named, "block"), keys))
+def lookup(archive: Archive, urls: DataFrame | list[str], url_column: str = "url") -> DataFrame:
+    """Records of urls, however many: directory first, then the blocks it names, then ranges of segments."""
+    if isinstance(urls, list):
+        urls = archive.segments.sparkSession.createDataFrame([(u,) for u in urls], f"{url_column} string")
+    named = wanted_blocks(archive.directory, keyed(urls, url_column)).groupBy("block").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    return read_records(archive, captures_of(archive.blocks.join(named, "block")))
 
 
 def read_archive(archive: Archive) -> DataFrame:
-    """Every record, by way of the index."""
-    return read_records(archive, captures_of(archive.blocks))
+    """Every record, through all blocks of the index."""
+    return read_records(archive, captures_of(archive.blocks.withColumn("keys", F.lit(None).cast("array<string>"))))
 
 
 def oracle() -> str:

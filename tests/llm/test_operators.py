@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -75,6 +76,27 @@ def test_op4_is_exact(docs, small):
     assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
+def twins():
+    """Words of 1024 letters whose hash modulo 2**64 is the same, whatever the odd base."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_equal_hashes_are_no_equal_words(spark):
+    a, b = twins()
+    lead = " ".join(WORDS[:12])
+    docs = spark.createDataFrame([(1, f"{lead} {a}"), (2, f"{lead} {b}"), (3, f"{lead} {a}")], SCHEMA)
+    assert {r["doc_id"]: r["n_removed"] for r in fm_index.digest(fm_index.fm_index_dedup(docs)).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_hashes_only_propose_equal_texts(docs, small, monkeypatch):
+    monkeypatch.setattr(repeats, "range_hash", lambda c, start, end, own=repeats.range_hash: own(c, start, end) & np.uint64(0xFF00FF))
+    test_op1_is_exact(docs, None)
+    test_op4_is_exact(docs, None)
+
+
 def test_bucket_refinement_and_backward_search():
     data = np.frombuffer(b"abracadabra" * 20 + b"abracadabrx" * 9, np.uint8)
     room = len(data) - np.arange(len(data))
@@ -171,19 +193,44 @@ LANGS = {"x": [f"{a}{b}ka" for a in "abcdefgh" for b in "lmnop"], "y": [f"tz{a}{
 
 def test_op6_learns_and_handles_odd_texts(spark):
     rows = [(i, " ".join(rng.choice(LANGS[lang]) for _ in range(30)) + "!!", lang) for i, lang in enumerate(["x", "y"] * 60)]
-    rows += [(1000, None, "x"), (1001, "", None), (1002, "12 34 ...", "y"), (1003, "tzäv " * 5000, None), (None, "alka blka", "x"), (3, rows[3][1], "y")]
+    rows += [(1000, None, "x"), (1001, "", None), (1002, "12 34 ...", "y"), (1003, "tzäv " * 5000, None), (1004, "½ ② ① Ⅷ", "y"), (None, "alka blka", "x"), (3, rows[3][1], "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("old")).withColumn("_c1", F.lit(1))
     got = langid.cross_parse_language(docs).collect()
     assert len(got) == len(rows)
     by = {r["doc_id"]: r for r in got}
     assert all(by[i]["lang_pred"] == lang for i, _, lang in rows[:120])
     assert all(by[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(120))
-    assert [by[i]["lang_pred"] for i in (1000, 1001, 1002, 1003)] == ["und", "und", "und", "y"]
+    assert [by[i]["lang_pred"] for i in (1000, 1001, 1002, 1003, 1004)] == ["und", "und", "und", "y", "und"]
     assert all(0 <= r["score"] <= 1 for r in got) and by[1000]["score"] == 0
     none = langid.cross_parse_language(docs.withColumn("lang", F.lit(None).cast("string"))).select("lang_pred").distinct().collect()
     assert [r[0] for r in none] == ["und"]
 
 
+def test_op6_prediction_equals_plain_parsing():
+    texts = {lang: " " + " ".join(words) + " " for lang, words in LANGS.items()}
+    own = langid.Parser(texts)
+
+    def phrases(known, s):
+        n = i = 0
+        while i < len(s):
+            k = 0
+            while i + k < len(s) and s[i : i + k + 1] in known:
+                k += 1
+            i, n = i + max(k, 1), n + 1
+        return n
+
+    for _ in range(40):
+        t = " ".join(rng.choice(LANGS["x"] + LANGS["y"]) + rng.choice(["", "!", "9q"]) for _ in range(12))
+        runs = [r for w in t.lower().split() for r in langid.LETTERS.findall(w)]
+        cost = {lang: sum(phrases(known, f" {r} ") for r in runs) * np.log2(len(known) + 1) for lang, known in texts.items()}
+        lang, score = own.predict(t)
+        assert lang == min(cost, key=lambda x: (cost[x], x)) and score == pytest.approx(1 - min(cost.values()) / max(cost.values()))
+
+
+def test_op6_ties_go_to_the_first_language():
+    assert langid.Parser({"a": " same ", "b": " same "}).predict("same")[0] == "a"
+
+
 def test_suffix_automaton_counts_phrases():
     text = "".join(rng.choice("abc") for _ in range(200))
     a = langid.SuffixAutomaton(text)
@@ -221,6 +268,48 @@ def test_exception_phrases_excuse_hits():
     lexicon = toxicity.Lexicon(((" vile ", 3.0),), (" not vile ",), (1.0, 0.0, 0.0, 0.0, 0.0))
     assert toxicity.measures(lexicon, "not vile")[1] == 0 < toxicity.measures(lexicon, "so vile")[1]
     assert toxicity.folded("V\u0456L\u00c9 5tuff") == ["vile", "stuff"]
+    assert toxicity.folded("2024 10 $ 5 % h3ll0 a@b") == ["2024", "10", "5", "hello", "aab"]
+
+
+def plain_measures(lexicon, text):
+    """The same sums by trying every entry at every place."""
+    line = f" {' '.join(toxicity.folded(text))} "
+    places = lambda entry: [i for i in range(len(line)) if line.startswith(entry, i)]
+    excused = [(i, i + len(x)) for x in lexicon.exceptions for i in places(x)]
+    best = {}
+    for entry, weight in lexicon.entries:
+        for i in places(entry):
+            if not any(a <= i and i + len(entry) <= b for a, b in excused):
+                best[i] = max(best.get(i, 0.0), weight)
+    total, n = sum(best.values()), len(line.split())
+    return total / np.sqrt(n + 10.0), np.log1p(total), max(best.values(), default=0.0), np.log1p(n)
+
+
+def test_measures_equal_a_naive_matcher():
+    entries = tuple(sorted({(f" {w} ", float(i + 1)) for i, w in enumerate(WORDS[:12])} | {(f" {w[:5]}", 2.5) for w in WORDS if len(w) > 5}))
+    lexicon = toxicity.Lexicon(entries, tuple(sorted({f" {a} {b} " for a in WORDS[:6] for b in WORDS[6:12]})), (1.0,) * 5)
+    for n in (0, 1, 5, 50, 400):
+        t = prose(n)
+        assert np.allclose(toxicity.measures(lexicon, t), plain_measures(lexicon, t))
+
+
+def test_excuses_are_linear_in_the_text():
+    lexicon = toxicity.Lexicon(((" vile ", 3.0),), (" not vile ",), (1.0, 0.0, 0.0, 0.0, 0.0))
+    began = time.time()
+    assert toxicity.measures(lexicon, "not vile vile " * 300_000)[1] == pytest.approx(np.log1p(3.0 * 300_000))
+    assert time.time() - began < 20
+
+
+def test_log_odds_equal_a_plain_count(spark):
+    texts = [(f"{WORDS[i % 7]} {WORDS[i % 5]} {WORDS[i % 3]}", i % 2) for i in range(60)]
+    rows = spark.createDataFrame(texts, "text string, label int")
+    got = {r["feature"]: (r["toxic"], r["clean"], r["w"]) for r in toxicity.counted(rows, toxicity.features_of).withColumn("w", toxicity.log_odds(30, 30)).collect()}
+    want = defaultdict(lambda: [0, 0])
+    for t, label in texts:
+        for f in toxicity.features_of(toxicity.folded(t)):
+            want[f][label] += 1
+    assert {k: v[:2] for k, v in got.items()} == {k: (v[1], v[0]) for k, v in want.items()}
+    assert all(w == pytest.approx(np.log((a + 0.5) / 31) - np.log((b + 0.5) / 31)) for a, b, w in got.values())
 
 
 def test_op3_round_trip(spark, docs):
@@ -244,14 +333,63 @@ def test_op3_round_trip(spark, docs):
     assert len(bins) == -(-sum(r["length"] for r in got) // 2048)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_local_search_beats_best_fit(seed):
+def searched(lengths, capacity):
+    """Numbers of bins: best fit, after the search, lower bound."""
+    first = packing.best_fit(lengths, capacity)
+    then = packing.local_search([list(b) for b in first], lengths, capacity)
+    assert sorted(i for b in then for i in b) == list(range(len(lengths)))
+    assert all(lengths[b].sum() <= capacity for b in then)
+    return len(first), len(then), packing.fewest(lengths, capacity)
+
+
+@pytest.mark.parametrize("seed", [16, 31])
+def test_local_search_strictly_beats_best_fit(seed):
     r = np.random.default_rng(seed)
-    lengths = r.integers(300, 900, 400)
-    first = packing.best_fit(lengths, 2048)
-    then = packing.local_search([list(b) for b in first], lengths, 2048)
-    assert sorted(i for b in then for i in b) == list(range(400))
-    assert all(lengths[b].sum() <= 2048 for b in then) and len(then) <= len(first)
+    first, then, bound = searched(r.integers(20, 51, r.integers(10, 60)), 100)
+    assert bound <= then < first
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_search_stays_between_the_bound_and_best_fit(seed):
+    r = np.random.default_rng(seed)
+    first, then, bound = searched(r.integers(1, 51, 8), 50)
+    assert bound <= then <= first
+
+
+def fewest_by_trying(lengths, capacity):
+    best, loads = [len(lengths)], []
+
+    def place(i):
+        if len(loads) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(loads)
+            return
+        for b in range(len(loads)):
+            if loads[b] + lengths[i] <= capacity:
+                loads[b] += lengths[i]
+                place(i + 1)
+                loads[b] -= lengths[i]
+        loads.append(lengths[i])
+        place(i + 1)
+        loads.pop()
+
+    place(0)
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_lower_bound_never_exceeds_the_optimum(seed):
+    lengths = np.random.default_rng(seed).integers(1, 21, 8)
+    assert packing.fewest(lengths, 20) <= fewest_by_trying(sorted(lengths.tolist(), reverse=True), 20)
+
+
+def test_packing_without_gain_ends_at_once():
+    r = np.random.default_rng(0)
+    began = time.time()
+    assert searched(r.integers(1030, 1401, 50_000), 2048)[1] == 50_000
+    assert searched(np.concatenate([np.full(300, 1500), np.ones(20_000, int)]), 2048)[1] == 300
+    assert time.time() - began < 10
 
 
 def test_fast_reader_agrees_with_the_tokenizer(docs):
@@ -275,11 +413,24 @@ def test_op7_round_trip(spark):
     want = [(3, 10, digest("<p>one</p>"), "revisit", 1), (1, 10, digest("<p>one</p>"), "response", None), (1, 10, digest("<p>one</p>"), "revisit", 1), (2, 0, digest(""), "response", None), (4, 0, digest(""), "revisit", 2), (5, 10000, digest("é" * 5000), "response", None), (None, 10, digest("<p>one</p>"), "response", None)]
     assert got == sorted(want, key=str)
     assert sorted(r["page_id"] for r in warc.lookup(archive, ["http://b.org", "http://none"]).collect()) == [1, 1]
+    assert sorted((tuple(r) for r in warc.lookup(archive, pages).drop("url").collect()), key=str) == got
     assert warc.surt("https://User@A.Example.com:80/x?q#f") == "com,example,a)/x?q"
     data = archive.segments.first()["data"]
     assert [raw[:8] for _, raw in warc.records_in(bytes(data))][0] == b"WARC/1.1"
 
 
+def test_op7_looks_up_through_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK", 3)
+    monkeypatch.setattr(warc, "CUTS", 8)
+    rows = [(i, f"http://h{i % 37}.org/{i % 5}" if i % 3 else "http://hot.org/", f"<p>{i % 50}</p>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write_archive(pages)
+    assert 1 <= len(warc.sections_of(archive.directory)) <= 8
+    assert sorted(r["page_id"] for r in warc.lookup(archive, pages).collect()) == list(range(400))
+    some = ["http://hot.org/", "http://h7.org/2", "http://h1.org/none", None]
+    assert sorted(r["page_id"] for r in warc.lookup(archive, some).collect()) == [i for i, u, _ in rows if u in some]
+
+
 def test_op7_small_payloads_are_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "v", "ab"), (3, "w", "abcdef"), (4, "x", "abcdef")], "page_id long, url string, html string")
     got = {r["page_id"]: r["record_type"] for r in warc.read_archive(warc.write_archive(pages, least=5)).collect()}
