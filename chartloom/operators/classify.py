@@ -13,15 +13,17 @@ FLOOR = 0.6
 #: What a reply may say.
 ALLOWED = {"laterality": {"left", "right", "bilateral"}, "visit_type": {"new", "follow_up", "post_op"}}
 FIELDS = ("body_region", "laterality", "visit_type", "hpi_summary")
+COLUMNS = {f: "string" for f in FIELDS} | {"llm_confidence": "double", "classify_error": "string"}
 
 
 def vetted(reply: str, regions: set[str] | None) -> dict:
     """Fields of a JSON reply: unknown values and 'none' are NULL; below the floor all are."""
     said = json.loads(reply)
-    if float(said.get("confidence") or 0) < FLOOR:
-        return {f: None for f in FIELDS}
+    sure = float(said.get("confidence") or 0)
+    if sure < FLOOR:
+        return {f: None for f in FIELDS} | {"llm_confidence": sure}
     allowed = ALLOWED | ({"body_region": regions} if regions else {})
-    out = {}
+    out: dict = {"llm_confidence": sure}
     for field in FIELDS:
         value = said.get(field)
         value = None if value is None or str(value).strip().lower() in ("", "none") else str(value)
@@ -30,10 +32,10 @@ def vetted(reply: str, regions: set[str] | None) -> dict:
 
 
 def classified(visits: DataFrame, text_column: str, model: Callable[[str], str] | None = None, regions: set[str] | None = None) -> DataFrame:
-    """visits plus FIELDS and classify_error. Empty text is not asked about; any failure gives NULLs and an error."""
-    names = [*FIELDS, "classify_error"]
+    """visits plus COLUMNS. Empty text is not asked about; any failure gives NULLs and an error."""
+    names = list(COLUMNS)
     if model is None:
-        return visits.withColumns({n: F.lit(None).cast("string") for n in names})
+        return visits.withColumns({n: F.lit(None).cast(kind) for n, kind in COLUMNS.items()})
 
     def ask(text: str | None) -> dict:
         none = {n: None for n in names}
@@ -47,7 +49,8 @@ def classified(visits: DataFrame, text_column: str, model: Callable[[str], str]
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = pd.DataFrame([ask(t) for t in pdf[text_column]], columns=names, index=pdf.index, dtype=object)
+            found["llm_confidence"] = found["llm_confidence"].astype(float)
             yield pd.concat([pdf, found], axis=1)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in visits.schema)
-    return visits.mapInPandas(run, f"{kinds}, {', '.join(f'{n} string' for n in names)}")
+    return visits.mapInPandas(run, f"{kinds}, {', '.join(f'{n} {kind}' for n, kind in COLUMNS.items())}")

@@ -34,10 +34,10 @@ def joined_text(by: list[str], blocks: DataFrame, separator: str = " ") -> DataF
     return blocks.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda x: x["text"]), separator).alias("text"))
 
 
-def lines(blocks: DataFrame) -> DataFrame:
+def lines(blocks: DataFrame, by: tuple[str, ...] = ("doc_id", "page")) -> DataFrame:
     """One row per visual line: least x0 and y0, largest x1 and y1, text joined left to right."""
     ordered = F.array_sort(F.collect_list(F.struct("x0", "ord", "text")))
-    return blocks.withColumn("row", row_of("y0")).groupBy("doc_id", "page", "row").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.min("ord").alias("ord"), F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("text"))
+    return blocks.withColumn("row", row_of("y0")).groupBy(*by, "row").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.min("ord").alias("ord"), F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("text"))
 
 
 def page_labels(blocks: DataFrame) -> DataFrame:
@@ -112,6 +112,7 @@ def page_regions(page: pd.DataFrame) -> pd.Series:
 
 
 def with_regions(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """blocks with their page's width and height, and region."""
     joined = blocks.join(pages.select("doc_id", "page", "width", "height"), ["doc_id", "page"])
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in joined.schema)}, region string"
     return joined.groupBy("doc_id", "page").applyInPandas(lambda pdf: pdf.assign(region=page_regions(pdf)), schema)
@@ -119,11 +120,17 @@ def with_regions(blocks: DataFrame, pages: DataFrame) -> DataFrame:
 
 def repeated_footers(blocks: DataFrame, pages: DataFrame, by: list[str]) -> DataFrame:
     """Texts in the bottom band of every page of a group, in the first page's order."""
-    low = blocks.join(pages.select("doc_id", "page", "height"), ["doc_id", "page"])
-    total = low.groupBy(*by).agg(F.count_distinct("page").alias("pages"), F.min("page").alias("first_page"))
-    foot = low.where(F.col("y0") >= F.col("height") * FOOTER_BAND).withColumn("text", F.trim("text"))
-    met = foot.join(total, by).groupBy(*by, "text", "pages").agg(F.count_distinct("page").alias("n"), F.min_by(F.struct(row_of("y0"), "x0", "ord"), F.struct("page", "y0", "x0")).alias("place"))
-    return met.where("n = pages").select(*by, "text", "place")
+    low = blocks.drop("height").join(pages.select("doc_id", "page", "height"), ["doc_id", "page"])
+    foot = low.where(F.col("y0") >= F.col("height") * FOOTER_BAND).withColumns({"text": F.trim("text"), "place": F.struct("page", row_of("y0").alias("row"), "x0", "ord")})
+    return in_every(foot, low, by, "text", "page", F.min("place").alias("place"))
+
+
+def in_every(rows: DataFrame, every: DataFrame, by: list[str], item: str, unit: str, *more: Column) -> DataFrame:
+    """(by, item) of the items that rows has for each unit that `every` has in the group; relational division."""
+    total = every.groupBy(*by).agg(F.count_distinct(unit).alias("_all"))
+    met = rows.groupBy(*by, item).agg(F.count_distinct(unit).alias("units"), *more)
+    both = met.join(total, by) if by else met.join(F.broadcast(total))
+    return both.where("units = _all").drop("_all")
 
 
 def value_below(labels: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -135,9 +142,14 @@ def value_below(labels: DataFrame, cells: DataFrame, keys: list[str]) -> DataFra
     return met.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.label_id").alias("label_id")).agg(F.min_by("b.text", F.struct(F.col("b.y0") - F.col("a.y0"), "b.ord")).alias("value"))
 
 
+def gap_sessions(rows: DataFrame, keys: list[str], x: str, tie: str, widest: Column, target: str = "column") -> DataFrame:
+    """target: a number that grows by one where x lies over `widest` beyond the row before it."""
+    w = Window.partitionBy(*keys).orderBy(x, tie)
+    wide = F.coalesce((F.col(x) - F.lag(x).over(w)) > widest, F.lit(False)).cast("int")
+    return rows.withColumn("_wide", wide).withColumn(target, F.sum("_wide").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_wide")
+
+
 def text_columns(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Column number of each block: a new one where left edges lie over 15% of the span apart."""
     span = Window.partitionBy(*keys)
-    w = span.orderBy("x0", "ord")
-    wide = (F.col("x0") - F.lag("x0").over(w)) > COLUMN_GAP * (F.max("x1").over(span) - F.min("x0").over(span))
-    return blocks.withColumn("_wide", F.coalesce(wide, F.lit(False)).cast("int")).withColumn("column", F.sum("_wide").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_wide")
+    return gap_sessions(blocks, keys, "x0", "ord", COLUMN_GAP * (F.max("x1").over(span) - F.min("x0").over(span)))

@@ -1,7 +1,7 @@
 """A warehouse of versioned Parquet tables: keyed upsert, scoped sweep, refresh, publish, restore.
 
-Parquet takes no MERGE, so a write computes whole tables and publishes them under one
-version: a marker file per version, written last, makes it current. Readers see all of a
+Parquet takes no MERGE, so a write computes the changed tables whole and publishes them under
+one version: a marker file per version, written last, makes it current. Readers see all of a
 document's tables or none, and older versions are backups.
 """
 
@@ -58,8 +58,22 @@ def with_seen_dates(patients: DataFrame, encounters: DataFrame) -> DataFrame:
     return joined.withColumn("first_seen_date", F.coalesce("_first", "first_seen_date")).withColumn("last_seen_date", F.coalesce("_last", "last_seen_date")).select(*patients.columns)
 
 
+#: The refreshes of derived columns in the order they run: table, what it reads, how.
+REFRESHES = [
+    ("encounters", (), with_visit_ordinals),
+    ("prescriptions", ("ref_drug_class",), with_drug_class),
+    ("patients", ("encounters",), with_seen_dates),
+]
+AUDIT = "ingest_runs"
+
+
 class Warehouse:
-    """Tables under `root`, read and written through Spark only."""
+    """Tables under `root`, read and written through Spark only.
+
+    A version is a marker that names the folder of each table; a write adds folders for the
+    tables it changes and a marker that keeps the others'. The audit table lies beside the
+    versions: an append to it is no version.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -74,34 +88,94 @@ class Warehouse:
         markers = path(f"{self.root}/versions")
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(markers)) if fs.exists(markers) else []
 
-    def read(self, table: str, version: int | None = None) -> DataFrame:
+    def folders(self, version: int | None = None) -> dict[str, str]:
+        """The folder of each table in a version, the newest where none is given."""
         known = self.versions()
         at = version if version is not None else (known[-1] if known else None)
         if at is None:
+            return {}
+        rows = self.spark.read.text(f"{self.root}/versions/{at}").collect()
+        return dict(r["value"].split("=", 1) for r in rows)
+
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        folder = f"{self.root}/runs" if table == AUDIT else self.folders(version).get(table)
+        fs, path = self._fs()
+        if folder is None or not fs.exists(path(folder)):
             return self.spark.createDataFrame([], SCHEMAS[table])
-        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.root}/data/{at}/{table}")
+        return self.spark.read.schema(SCHEMAS[table]).parquet(folder)
 
     def publish(self, tables: dict[str, DataFrame]) -> int:
-        """Write every table of a new version, then its marker. Tables not given are carried over."""
+        """Write the given tables and then the marker of a version that has them; the others stay as they are."""
         known = self.versions()
         version = known[-1] + 1 if known else 1
-        for name in SCHEMAS:
-            rows = tables[name] if name in tables else self.read(name)
-            rows.select(*SCHEMAS[name].fieldNames()).write.mode("overwrite").parquet(f"{self.root}/data/{version}/{name}")
+        folders = self.folders()
+        for name, rows in tables.items():
+            if name != AUDIT:
+                folders[name] = f"{self.root}/data/{name}/{version}-{uuid.uuid4().hex}"
+                rows.select(*SCHEMAS[name].fieldNames()).write.parquet(folders[name])
+        return self.mark(version, folders)
+
+    def mark(self, version: int, folders: dict[str, str]) -> int:
         fs, path = self._fs()
-        fs.create(path(f"{self.root}/versions/{version}"), False).close()
+        out = fs.create(path(f"{self.root}/versions/{version}"), False)
+        out.write(bytearray("\n".join(f"{k}={v}" for k, v in sorted(folders.items())).encode()))
+        out.close()
         return version
 
     def restore(self, version: int) -> int:
-        """An older version's tables as the newest version."""
-        return self.publish({name: self.read(name, version) for name in SCHEMAS})
+        """An older version's tables as the newest version: a marker, and no copy."""
+        return self.mark(self.versions()[-1] + 1, self.folders(version))
+
+    def clear(self, document: str) -> int:
+        """A version without a document: its row and all rows that came from it. Audit rows and issues stay."""
+        left = {}
+        for name in SCHEMAS:
+            key = next((c for c in ("source_document_id", "document_id") if c in SCHEMAS[name].fieldNames()), None)
+            if key and name not in (AUDIT, "ingestion_issues"):
+                rows = self.read(name)
+                left[name] = rows.where(~F.col(key).eqNullSafe(F.lit(document)))
+        return self.publish(self.refreshed(left))
+
+    def verify(self, version: int, without: tuple[str, ...] = ("ingested_at", "created_at", "ingest_run_id")) -> list[str]:
+        """Tables whose rows now differ from a version's."""
+        state = lambda name, at: tuple(fingerprint(self.read(name, at), without).first())
+        return [n for n in SCHEMAS if n != AUDIT and state(n, None) != state(n, version)]
+
+    def rearm(self, document: str) -> dict[str, int]:
+        """Clear a document so that it can be ingested again; the rows of it that are left in each table, which must be none."""
+        self.clear(document)
+        count = lambda name, key: self.read(name).where(F.col(key) == document).count()
+        keys = {n: next((c for c in ("source_document_id", "document_id") if c in SCHEMAS[n].fieldNames()), None) for n in SCHEMAS if n not in (AUDIT, "ingestion_issues")}
+        return {n: count(n, key) for n, key in keys.items() if key}
+
+    def vacuum(self, keep: int) -> int:
+        """Remove all but the newest `keep` versions and the folders that only they name; how many folders went."""
+        fs, path = self._fs()
+        known = self.versions()
+        old, new = known[: -keep or None], known[-keep:] if keep else []
+        needed = {f for v in new for f in self.folders(v).values()}
+        gone = {f for v in old for f in self.folders(v).values()} - needed
+        for v in old:
+            fs.delete(path(f"{self.root}/versions/{v}"), False)
+        for folder in gone:
+            fs.delete(path(folder), True)
+        return len(gone)
+
+    def refreshed(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The given tables, and those whose derived columns they change."""
+        out = dict(tables)
+        get = lambda name: out[name] if name in out else self.read(name)
+        for name, reads, refresh in REFRESHES:
+            if name in out or any(r in out for r in reads):
+                out[name] = refresh(get(name), *[get(r) for r in reads])
+        return out
 
     def merged(self, bundle: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """The tables after a write of `bundle` (tables with an `_ord` column for arrival order, where it matters)."""
+        """The changed tables after a write of `bundle`; of rows with one key the last by `_ord`, where the bundle has it, else by all columns, stays."""
         out: dict[str, DataFrame] = {}
         given = bundle.get("encounters")
         for name, rows in bundle.items():
-            order = F.col("_ord") if "_ord" in rows.columns else F.lit(0)
+            order = F.col("_ord") if "_ord" in rows.columns else F.struct(*[c for c in rows.columns])
             stage = last_wins(rows, list(MERGE_KEYS[name]), order).drop("_ord")
             target = self.read(name)
             out[name] = swept_upsert(target, stage, given) if name in SWEPT and given is not None else upsert(target, stage, list(MERGE_KEYS[name]))
@@ -109,20 +183,27 @@ class Warehouse:
             for name in SWEPT:
                 if name not in bundle:
                     out[name] = self.read(name).join(given.select("encounter_id").distinct(), "encounter_id", "left_anti")
-        get = lambda name: out.get(name, self.read(name))
-        out["encounters"] = with_visit_ordinals(get("encounters"))
-        out["prescriptions"] = with_drug_class(get("prescriptions"), get("ref_drug_class"))
-        out["patients"] = with_seen_dates(get("patients"), out["encounters"])
-        return out
+        return self.refreshed(out)
 
     def write(self, bundle: dict[str, DataFrame]) -> int:
         return self.publish(self.merged(bundle))
 
+    def effects(self, old: int | None, new: int) -> DataFrame:
+        """(name, inserted, updated, deleted) of each table between two versions."""
+        parts = []
+        for name in SCHEMAS:
+            if name != AUDIT:
+                before = self.read(name, old) if old is not None else self.spark.createDataFrame([], SCHEMAS[name])
+                parts.append(changes(before, self.read(name, new), list(MERGE_KEYS[name])).withColumn("name", F.lit(name)))
+        return reduce(DataFrame.unionByName, parts).select("name", "inserted", "updated", "deleted")
+
     def record_run(self, row: dict) -> bool:
-        """Append an audit row beside the versions; a failure never masks the run's outcome."""
+        """Append an audit row; a failure never masks the run's outcome."""
+        return self.record_runs(self.spark.createDataFrame([{f: row.get(f) for f in SCHEMAS[AUDIT].fieldNames()} | {"run_id": row.get("run_id") or uuid.uuid4().hex}], SCHEMAS[AUDIT]))
+
+    def record_runs(self, rows: DataFrame) -> bool:
         try:
-            values = {f: row.get(f) for f in SCHEMAS["ingest_runs"].fieldNames()} | {"run_id": row.get("run_id") or uuid.uuid4().hex}
-            self.spark.createDataFrame([values], SCHEMAS["ingest_runs"]).write.mode("append").parquet(f"{self.root}/runs")
+            rows.select(*SCHEMAS[AUDIT].fieldNames()).write.mode("append").parquet(f"{self.root}/runs")
             return True
         except Exception:  # noqa: BLE001
             return False
@@ -134,8 +215,24 @@ def counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("ord")
 
 
-def fingerprint(df: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
-    """Order-independent digest of rows: hashes of rows, sorted and hashed."""
-    columns = sorted(c for c in df.columns if c not in without)
-    row = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
-    return df.agg(F.md5(F.array_join(F.array_sort(F.collect_list(row)), "")).alias("fingerprint"), F.count("*").alias("rows"))
+def changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """inserted, updated and deleted rows by key, in one row."""
+    a, b = (df.select(*keys, row_text(df.columns).alias("_row")).alias(n) for df, n in ((before, "a"), (after, "b")))
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    both = a.join(b, same, "full")
+    return both.agg(F.count_if(F.col("a._row").isNull()).alias("inserted"), F.count_if(F.col("a._row") != F.col("b._row")).alias("updated"), F.count_if(F.col("b._row").isNull()).alias("deleted"))
+
+
+def row_text(columns: list[str]) -> Column:
+    """All values of a row in one text: a NULL as a dash, any other behind a colon."""
+    value = lambda c: F.coalesce(F.concat(F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    return F.array_join(F.array(*[value(c) for c in columns]), "\u001f")
+
+
+def fingerprint(df: DataFrame, without: tuple[str, ...] = (), by: tuple[str, ...] = ()) -> DataFrame:
+    """Order-independent digest of the rows (of each group): the sums of two halves of each row's hash and the count, hashed. Sums, so that no task holds all hashes."""
+    row = F.md5(row_text(sorted(c for c in df.columns if c not in without)).cast("binary"))
+    half = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)"))
+    summed = df.groupBy(*by).agg(half(1).alias("_a"), half(16).alias("_b"), F.count("*").alias("rows"))
+    text = F.concat_ws("|", F.coalesce("_a", F.lit(0)).cast("string"), F.coalesce("_b", F.lit(0)).cast("string"), F.col("rows").cast("string"))
+    return summed.select(*by, F.md5(text.cast("binary")).alias("fingerprint"), "rows")

@@ -37,17 +37,24 @@ def rules(table: str) -> dict[str, Column]:
         "vitals": {"encounter_id": given("encounter_id"), "bp_systolic": between("bp_systolic", 40, 300), "bp_diastolic": between("bp_diastolic", 20, 200), "pulse": between("pulse", 20, 250), "respirations": between("respirations", 4, 80), "o2_sat": between("o2_sat", 50, 100), "temperature_f": between("temperature_f", 90, 110), "height_in": between("height_in", 20, 100), "weight_lbs": between("weight_lbs", 20, 800), "bmi": between("bmi", 5, 100), "bsa": between("bsa", 0.3, 4)},
         "diagnoses": {"diagnosis_id": given("diagnosis_id"), "icd10_code": F.col("icd10_code").isNull() | F.col("icd10_code").rlike(CODE), "laterality": one_of("laterality", *SIDES)},
         "prescriptions": {"prescription_id": given("prescription_id"), "drug_name": given("drug_name"), "quantity": between("quantity", 0), "refills": between("refills", 0, 99), "duration_days": between("duration_days", 0, 3650), "action": one_of("action", "new", "modify", "continue")},
+        "imaging_studies": {"imaging_id": given("imaging_id"), "laterality": one_of("laterality", *SIDES)},
+        "procedures": {"procedure_id": given("procedure_id"), "procedure_name": given("procedure_name"), "laterality": one_of("laterality", *SIDES)},
+        "medication_snapshots": {"encounter_id": given("encounter_id"), "medication_name": given("medication_name")},
+        "exam_findings": {"finding_id": given("finding_id"), "laterality": one_of("laterality", *SIDES), "finding_type": one_of("finding_type", "rom_active", "rom_passive", "strength", "special_test", "inspection", "skin", "stability", "narrative")},
+        "patient_history": {"history_id": given("history_id"), "patient_id": given("patient_id"), "item_text": given("item_text")},
         "ingestion_issues": {"issue_id": given("issue_id"), "severity": one_of("severity", "warn", "error")},
     }.get(table, {})
 
 
 def checked(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejects with a `broken` array of fields); one bad row never touches its siblings."""
-    found = rules(table)
-    if not found:
-        return rows, rows.limit(0).withColumn("broken", F.array().cast("array<string>"))
+    return split(rows, rules(table))
+
+
+def split(rows: DataFrame, found: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows by whether they keep all rules (field -> what must hold); one pass marks them."""
     broken = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(field)) for field, ok in found.items()]), lambda x: x.isNotNull())
-    marked = rows.withColumn("broken", broken)
+    marked = rows.withColumn("broken", broken if found else F.array().cast("array<string>"))
     return marked.where(F.size("broken") == 0).drop("broken"), marked.where(F.size("broken") > 0)
 
 

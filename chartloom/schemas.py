@@ -33,3 +33,13 @@ MERGE_KEYS: dict[str, tuple[str, ...]] = {
 }
 #: Children of an encounter: a document write replaces all of an encounter's rows.
 SWEPT = ("vitals", "diagnoses", "prescriptions", "medication_snapshots", "procedures", "imaging_studies", "exam_findings")
+
+#: Drugs, their class, and whether they reduce inflammation.
+DRUGS = [
+    ("meloxicam", "NSAID", True), ("ibuprofen", "NSAID", True), ("naproxen", "NSAID", True), ("diclofenac", "NSAID", True), ("celecoxib", "NSAID (COX-2)", True), ("indomethacin", "NSAID", True),
+    ("methylprednisolone", "corticosteroid", True), ("prednisone", "corticosteroid", True), ("triamcinolone", "corticosteroid", True), ("dexamethasone", "corticosteroid", True),
+    ("acetaminophen", "analgesic", False), ("tramadol", "opioid analgesic", False), ("hydrocodone-acetaminophen", "opioid analgesic", False), ("cyclobenzaprine", "muscle relaxant", False),
+    ("methocarbamol", "muscle relaxant", False), ("tizanidine", "muscle relaxant", False), ("gabapentin", "anticonvulsant / neuropathic", False), ("duloxetine", "SNRI", False), ("nebivolol", "beta blocker", False),
+    ("olmesartan-amlodipin-hcthiazid", "antihypertensive combination", False), ("lisinopril", "ACE inhibitor", False), ("metformin", "biguanide", False), ("atorvastatin", "statin", False),
+    ("levothyroxine", "thyroid hormone", False), ("omeprazole", "proton pump inhibitor", False), ("vitamin d3", "supplement", False), ("calcium carbonate", "supplement", False), ("alendronate", "bisphosphonate", False),
+]

@@ -74,3 +74,18 @@ def events(rows: DataFrame, column: str = "body") -> DataFrame:
     return out.withColumn("accepted", F.coalesce(F.col("kind").contains("finalized") & is_document(F.col("name")), F.lit(False)))
 
 
+
+def seed_drugs(spark: SparkSession) -> DataFrame:
+    """The drug lookup's own rows."""
+    from chartloom.schemas import DRUGS, SCHEMAS
+
+    return spark.createDataFrame(DRUGS, SCHEMAS["ref_drug_class"])
+
+
+def register(spark: SparkSession, warehouse, views: dict) -> None:
+    """Temporary views of all tables of a warehouse, and of the curated views made from them."""
+    from chartloom.schemas import SCHEMAS
+
+    tables = {name: warehouse.read(name) for name in SCHEMAS}
+    for name, df in (tables | {name: made(tables) for name, made in views.items()}).items():
+        df.createOrReplaceTempView(name)

@@ -1,4 +1,5 @@
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,12 +15,15 @@ def served(spark, tmp_path_factory):
     made.write.parquet(path)
     view = spark.read.parquet(path)
     spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("base_table")
+    spark.sql("CREATE TABLE IF NOT EXISTS saved USING parquet AS SELECT 1 AS x")
     return serve.serving_session(spark, {"v_encounter_summary": view, "v_patient_timeline": view})
 
 
 @pytest.mark.parametrize("query", [
     "SELECT mrn FROM v_encounter_summary", "WITH a AS (SELECT * FROM v_patient_timeline) SELECT * FROM a;", "SELECT ';' AS s FROM v_encounter_summary LIMIT 5",
-    "SELECT x.k FROM v_encounter_summary t, UNNEST(t.items) x", "SELECT extract(MONTH FROM encounter_date) AS m FROM v_encounter_summary GROUP BY 1",
+    "SELECT x.k FROM v_encounter_summary t, UNNEST(t.items) x", "WITH a AS (SELECT mrn FROM v_encounter_summary), b AS (SELECT * FROM a) SELECT count(*), max(mrn) FROM b WHERE mrn IN (SELECT mrn FROM a) AND EXISTS (SELECT 1 FROM b)",
+    "SELECT CASE WHEN mrn LIKE 'p%' THEN upper(mrn) END AS m, row_number() OVER (ORDER BY mrn) AS n FROM v_encounter_summary UNION ALL SELECT mrn, 1 FROM v_patient_timeline ORDER BY 1 LIMIT 3 OFFSET 1", "SELECT transform(items, x -> x.n + 1) AS t, cast(mrn AS STRING) FROM v_encounter_summary WHERE mrn BETWEEN 'a' AND 'z' AND size(items) > 0",
+    "SELECT count(DISTINCT mrn) FILTER (WHERE mrn IS NOT NULL) AS n FROM v_encounter_summary HAVING count(*) > 0", "SELECT extract(MONTH FROM encounter_date) AS m FROM v_encounter_summary GROUP BY 1",
 ])
 def test_accepted(served, query):
     assert serve.run_sql(served, query)["status"] == "ok"
@@ -29,6 +33,12 @@ def test_accepted(served, query):
     "", "DROP TABLE v_encounter_summary", "INSERT INTO v_encounter_summary SELECT 1", "SELECT 1", "SELECT * FROM base_table", "SELECT * FROM other.v_encounter_summary", "SELECT 1 FROM v_encounter_summary; SELECT 2 FROM v_encounter_summary",
     "SELECT * FROM v_encounter_summary, base_table", "SELECT * FROM v_encounter_summary WHERE EXISTS (SELECT 1 FROM base_table)", "SELECT * FROM v_encounter_summary WHERE mrn IN (SELECT x FROM base_table)", "WITH a AS (SELECT * FROM base_table) SELECT * FROM a", "SELECT (SELECT max(x) FROM base_table) AS m FROM v_encounter_summary",
     "SELECT * FROM _staging", "SELECT * FROM parquet.`/tmp/x`", "CREATE TABLE t AS SELECT 1", "DELETE FROM v_encounter_summary", "CALL f()",
+    "WITH base_table AS (SELECT * FROM base_table) SELECT * FROM base_table", "WITH saved AS (SELECT * FROM saved) SELECT * FROM saved", "WITH a AS (SELECT * FROM later), later AS (SELECT 1 AS x FROM v_encounter_summary) SELECT * FROM a",
+    "WITH v_encounter_summary AS (SELECT * FROM base_table) SELECT * FROM v_encounter_summary", "SELECT (SELECT max(x) FROM base_table) FROM v_encounter_summary", "SELECT * FROM (WITH base_table AS (SELECT 1 AS x) SELECT * FROM base_table) q, base_table, v_encounter_summary",
+    "SELECT java_method('java.lang.System', 'getProperty', 'user.home') FROM v_encounter_summary", "SELECT reflect('java.lang.Runtime', 'getRuntime') FROM v_encounter_summary", "SELECT * FROM v_encounter_summary WHERE java_method('a.B', 'c') = 1",
+    "SELECT upper(reflect('a.B', 'c')) AS x FROM v_encounter_summary ORDER BY 1", "SELECT * FROM v_encounter_summary JOIN range(10)", "SELECT current_user() FROM v_encounter_summary", "SELECT count(*) FROM v_encounter_summary GROUP BY try_reflect('a.B', 'c')",
+    "SELECT 1 WHERE 1 IN (SELECT x FROM saved)", "SELECT * FROM spark_catalog.default.saved", "WITH RECURSIVE r AS (SELECT 1 AS n FROM v_encounter_summary UNION ALL SELECT n + 1 FROM r) SELECT * FROM r",
+    "SELECT * FROM v_encounter_summary WHERE mrn = (SELECT first(x) FROM saved)", "SELECT max(x) OVER (PARTITION BY (SELECT 1 FROM saved)) FROM v_encounter_summary",
 ])
 def test_refused(served, query):
     assert serve.run_sql(served, query)["status"] == "refused"
@@ -41,6 +51,16 @@ def test_results_are_json_safe_capped_and_errors_do_not_raise(served):
     assert ("items.k", "string", "NULLABLE", "") in serve.described(served.table("v_encounter_summary").schema)
 
 
+def test_tables_of_other_sessions_are_out_of_reach(served):
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        served.sql("SELECT * FROM saved").collect()
+
+
+def test_values_of_every_type_become_json(spark):
+    row = spark.range(1).selectExpr("CAST(1.5 AS DECIMAL(5,2)) AS d", "DATE '2025-01-02' AS day", "TIMESTAMP '2025-01-02 03:04:05' AS t", "CAST('ab' AS BINARY) AS b", "map('k', DATE '2025-01-02') AS m", "array(named_struct('x', CAST(NULL AS DATE)), NULL) AS a", "CAST(NULL AS STRING) AS n", "array(1, NULL) AS i")
+    assert json.loads(json.dumps(serve.rows_of(row))) == [{"d": 1.5, "day": "2025-01-02", "t": "2025-01-02T03:04:05", "b": "ab", "m": {"k": "2025-01-02"}, "a": [{"x": None}, None], "n": None, "i": [1, None]}]
+
+
 def test_validation_and_status(spark):
     rows = spark.createDataFrame([("e1", 120, 80), ("e2", 900, 80), (None, 120, 5)], "encounter_id string, bp_systolic int, bp_diastolic int")
     for c in ("pulse", "respirations", "o2_sat", "temperature_f", "height_in", "weight_lbs", "bmi", "bsa"):

@@ -43,9 +43,8 @@ def test_last_wins_and_null_overwrites(spark):
 def test_writes_converge_sweep_and_restore(spark, tmp_path):
     w = store.Warehouse(spark, f"file://{tmp_path}/w")
     w.publish({"ref_drug_class": frame(spark, "ref_drug_class", {"drug_name": "MELOXICAM", "drug_class": "nsaid", "is_anti_inflammatory": True})})
-    extract = lambda _: bundle(spark)
-    first = ingest.ingest(w, None, extract)
-    assert ingest.drift(w, None, extract) == []
+    first = w.write(bundle(spark))
+    assert w.verify(w.write(bundle(spark))) == []
     assert w.read("prescriptions").first()["drug_class"] == "nsaid"
     w.write(bundle(spark, codes=("M51.16",), phone=None))
     assert [r[0] for r in w.read("diagnoses").select("icd10_code").collect()] == ["M51.16"]
@@ -71,28 +70,37 @@ def test_views(spark):
     t["ref_drug_class"] = frame(spark, "ref_drug_class", {"drug_name": "meloxicam", "drug_class": "nsaid", "is_anti_inflammatory": True})
     t["imaging_studies"] = frame(spark, "imaging_studies", {"imaging_id": "i", "encounter_id": "e1", "performed_date": DAY})
     row = views.encounter_summary(t).first()
-    assert (row["primary_icd10_code"], row["diagnosis_count"], row["anti_inflammatory_active"], row["anti_inflammatory_on_arrival"], row["has_same_day_imaging"]) == ("M17.11", 2, True, False, True)
+    assert (row["primary_icd10_code"], row["diagnosis_count"], row["anti_inflammatory_active"], row["anti_inflammatory_on_arrival"], row["imaging_same_day"]) == ("M17.11", 2, True, False, True)
     line = views.patient_timeline(t).first()
     assert [d["icd10_code"] for d in line["diagnoses"]] == ["M17.11", "M25.51"]
     assert line["procedures"] == [] and line["vitals"] is None
 
 
-def test_streaming_batches(spark, tmp_path):
+def test_only_changed_tables_are_written(spark, tmp_path):
     w = store.Warehouse(spark, f"file://{tmp_path}/w")
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text('{"doc": "d1"}\n')
+    first = w.write(bundle(spark))
+    second = w.publish({"ref_drug_class": frame(spark, "ref_drug_class", {"drug_name": "a", "drug_class": "b", "is_anti_inflammatory": False})})
+    a, b = w.folders(first), w.folders(second)
+    assert {n for n in b if a.get(n) != b[n]} == {"ref_drug_class"}
+    assert w.verify(first) == ["ref_drug_class"] and w.read("ref_drug_class", first).count() == 0
+    third = w.write(bundle(spark, codes=("M51.16",)))
+    got = {r["name"]: tuple(r)[1:] for r in w.effects(second, third).collect()}
+    assert got["diagnoses"] == (1, 0, 1) and got["patients"] == (0, 0, 0) and got["ref_drug_class"] == (0, 0, 0)
+    assert w.vacuum(1) >= 1 and w.versions() == [third] and w.read("encounters").count() == 1
 
-    def extract(batch):
-        if batch.where("doc = 'bad'").count():
-            raise ValueError("unreadable")
-        return bundle(spark)
 
-    go = lambda: ingest.ingest_available(spark, f"file://{tmp_path}/in", "doc string", w, extract, f"file://{tmp_path}/c")
-    go()
-    assert w.read("encounters").count() == 1
-    (tmp_path / "in" / "b.json").write_text('{"doc": "bad"}\n')
-    go()
-    assert sorted(r["status"] for r in spark.read.schema(SCHEMAS["ingest_runs"]).parquet(f"file://{tmp_path}/w/runs").collect()) == ["failed", "succeeded"]
+def test_fingerprints_ignore_order_and_see_values(spark):
+    rows = spark.createDataFrame([(1, "a", None), (2, None, "b"), (2, None, "b")], "k int, x string, y string")
+    prints = lambda df: tuple(store.fingerprint(df).first())
+    assert prints(rows) == prints(rows.orderBy(F.desc("k")).repartition(3))
+    assert len({prints(rows), prints(rows.distinct()), prints(rows.select("k", F.col("y").alias("x"), F.col("x").alias("y"))), prints(rows.limit(0))}) == 4
+
+
+def test_runs_are_read_through_the_warehouse(spark, tmp_path):
+    w = store.Warehouse(spark, f"file://{tmp_path}/w")
+    assert w.read("ingest_runs").count() == 0
+    assert w.record_run({"status": "succeeded", "started_at": datetime.datetime(2025, 1, 1)}) and w.record_run({"status": "failed"})
+    assert sorted(r["status"] for r in w.read("ingest_runs").collect()) == ["failed", "succeeded"] and w.versions() == []
 
 
 def test_every_table_has_a_key():
