@@ -155,39 +155,31 @@ def test_scoring_counts_both_directions(spark, landed):
     assert "expected None, got" in score.report(out)
 
 
-def test_identity_gaps_are_issues(spark):
-    name = {"mismatch": "MRN999_PMS1.pdf", "fallback": "MRN888_PMS2.pdf"}
-    files = spark.createDataFrame([(d, d, n, 1, None) for d, n in name.items()], extract.FILES)
-    pages = spark.createDataFrame([(d, 1, 612.0, 792.0) for d in name], extract.PAGES)
-    blocks = [(d, i, 1, *b) for d, p in (("mismatch", page(1, 1)), ("fallback", page(1, 1, mrn="none", extra=["Modify Regimen"]))) for i, b in enumerate(p[3])]
-    blocks = [(*b[:3], b[3].replace("DOB: 09/15/1991", "DOB: 13/45/1991") if b[0] == "fallback" else b[3], *b[4:]) for b in blocks]
-    out = extract.extract(files, pages, spark.createDataFrame(blocks, sources.BLOCKS))
-    got = {(r["document_id"], r["issue_type"], r["field_name"]) for r in out.tables["ingestion_issues"].collect()}
-    assert got == {("mismatch", "identifier_mismatch", "mrn"), ("fallback", "unparsed_field", "mrn"), ("fallback", "unparsed_field", "date_of_birth")}
-    assert {(r["source_document_id"], r["mrn"]) for r in out.tables["patients"].collect()} == {("mismatch", "1234567"), ("fallback", "888")}
-    out.release()
-
-
-def test_broken_rows_cost_themselves_and_broken_visits_their_children(spark):
-    texts = lambda p, **change: [(change.get(b[0].split(":")[0].replace(" ", "_"), b[0]), *b[1:]) for b in p[3]]
-    bad_row = [(b[0].replace("BP: 128/82", "BP: 999/82"), *b[1:]) for b in texts(page(1, 1))]
-    no_patient = [(b[0].replace("MRN: 1234567", ""), *b[1:]) for b in texts(page(1, 1)) if b[0] != ""]
-    files = spark.createDataFrame([("row", "u", "r.pdf", 1, None), ("visit", "u", "v.pdf", 1, None)], extract.FILES)
-    pages = spark.createDataFrame([("row", 1, 612.0, 792.0), ("visit", 1, 612.0, 792.0)], extract.PAGES)
-    blocks = spark.createDataFrame([("row", i, 1, *b) for i, b in enumerate(bad_row)] + [("visit", i, 1, *b) for i, b in enumerate(no_patient) if b[0]], sources.BLOCKS)
+def test_every_gap_is_an_issue_and_costs_no_more_than_itself(spark):
+    def changed(p, drop=(), **texts):
+        return [(texts.get(next((k for k in texts if b[0].startswith(k)), ""), b[0]), *b[1:]) for b in p[3] if not b[0].startswith(tuple(drop) or "\0")]
+
+    documents = {
+        "mismatch": ("MRN999_PMS1.pdf", page(1, 1)[3]),
+        "fallback": ("MRN888_PMS2.pdf", changed(page(1, 1, mrn="none"), DOB="DOB: 13/45/1991")),
+        "row": ("r.pdf", [(b[0].replace("BP: 128/82", "BP: 999/82"), *b[1:]) for b in page(1, 1)[3]]),
+        "visit": ("v.pdf", changed(page(1, 1), drop=["MRN"])),
+        "dose": ("d.pdf", changed(page(1, 1, mrn="5550001", extra=["Plan", "Modify Regimen: Modify prescription therapy."]), drop=["ibuprofen", "Sig", "Quantity"])),
+    }
+    files = spark.createDataFrame([(d, "u", name, 1, None) for d, (name, _) in documents.items()], extract.FILES)
+    pages = spark.createDataFrame([(d, 1, 612.0, 792.0) for d in documents], extract.PAGES)
+    blocks = spark.createDataFrame([(d, i, 1, *b) for d, (_, page_blocks) in documents.items() for i, b in enumerate(page_blocks)], sources.BLOCKS)
     out = extract.extract(files, pages, blocks)
-    assert {(r["document_id"], r["parse_status"]) for r in out.tables["documents"].collect()} == {("row", "partial"), ("visit", "failed")}
-    assert out.tables["vitals"].count() == 0 and {r["source_document_id"] for r in out.tables["diagnoses"].collect()} == {"row"}
-    out.release()
-
-
-def test_prescribing_without_a_dose_is_told(spark):
-    plain = [b for b in page(1, 1, extra=["Plan", "Modify Regimen: Modify prescription therapy."])[3] if not b[0].startswith(("ibuprofen", "Sig", "Quantity"))]
-    files = spark.createDataFrame([("d", "u", "d.pdf", 1, None)], extract.FILES)
-    out = extract.extract(files, spark.createDataFrame([("d", 1, 612.0, 792.0)], extract.PAGES), spark.createDataFrame([("d", i, 1, *b) for i, b in enumerate(plain)], sources.BLOCKS))
-    assert {(r["severity"], r["field_name"]) for r in out.tables["ingestion_issues"].collect()} == {("warn", "prescriptions")}
-    assert out.tables["prescriptions"].count() == 0
+    t = {n: df.collect() for n, df in out.tables.items()}
     out.release()
+    assert {(r["document_id"], r["severity"], r["issue_type"], r["field_name"]) for r in t["ingestion_issues"]} == {
+        ("mismatch", "warn", "identifier_mismatch", "mrn"), ("fallback", "warn", "unparsed_field", "mrn"), ("fallback", "warn", "unparsed_field", "date_of_birth"), ("row", "error", "validation_failed", "vitals"),
+        ("visit", "error", "unparsed_field", "mrn"), ("visit", "error", "validation_failed", "encounter"), ("visit", "error", "validation_failed", "patient_history"), ("dose", "warn", "unparsed_field", "prescriptions"),
+    }
+    assert {(r["source_document_id"], r["mrn"]) for r in t["patients"]} == {("mismatch", "1234567"), ("fallback", "888"), ("row", "1234567"), ("dose", "5550001")}
+    assert {r["document_id"]: r["parse_status"] for r in t["documents"]} == {"mismatch": "ok", "fallback": "ok", "row": "partial", "visit": "failed", "dose": "ok"}
+    of = lambda table: {r["source_document_id"] for r in t[table]}
+    assert of("vitals") == {"mismatch", "fallback", "dose"} and of("diagnoses") == {"mismatch", "fallback", "row", "dose"} and of("prescriptions") == {"mismatch", "fallback", "row"}
 
 
 def test_a_failing_store_stops_the_stream(spark, tmp_path):
