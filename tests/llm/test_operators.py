@@ -6,6 +6,7 @@ import random
 import time
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -611,3 +612,9 @@ def test_other_columns_pass_and_clashing_ones_give_way(docs, operator, results):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark):
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda _: None), getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context))
