@@ -1,11 +1,15 @@
 import datetime
+import os
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from chartloom.functions import keys
 from chartloom.operators import store
 from chartloom.plans import views
 from chartloom.schemas import MERGE_KEYS, SCHEMAS
+from chartloom.sources import scratch
 from chartloom.streaming import ingest
 
 DAY = datetime.date(2025, 7, 2)
@@ -103,6 +107,18 @@ def test_runs_are_read_through_the_warehouse(spark, tmp_path):
     assert sorted(r["status"] for r in w.read("ingest_runs").collect()) == ["failed", "succeeded"] and w.versions() == []
 
 
+def test_scratch_tables_lie_in_the_shared_folder_and_go_together(spark):
+    s = scratch.Scratch(spark)
+    assert s.folder.startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    kept = s.keep(spark.range(3), "n")
+    assert kept.count() == 3 and kept.inputFiles()[0].startswith(s.folder.replace("file:///", "file:/").replace("file:/", "file:///"))
+    s.release()
+    assert not os.path.exists(s.folder.removeprefix("file://"))
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda _: None), getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(SimpleNamespace(sparkContext=context))
+
+
 def test_every_table_has_a_key():
     assert set(MERGE_KEYS) == set(SCHEMAS)
     assert all(set(k) <= set(SCHEMAS[t].fieldNames()) for t, k in MERGE_KEYS.items())
