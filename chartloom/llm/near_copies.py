@@ -11,12 +11,12 @@ of Jaccard similarity s have a cosine of 2s / (1 + s). Texts decide every link.
 
 Equal sets (by a digest of 128 bits) are made one class first, so a group of copies is one.
 Only documents that share a bucket take part further, and buckets of equal members count
-once. Links are sought in rounds. In the first ones each bucket's document in the middle
-(nearest to the majority of all fingerprints) meets one of every other component, and each
-component keeps its nearest meeting: one link a component at most, which joins most groups.
-In the last all pairs of a bucket meet that may be similar and are not of one component yet.
-There the hashes of sets of up to TOLD shingles tell whether they are, before texts are read;
-of larger documents, many that resemble each other nearly enough, but not enough, make many pairs.
+once. Each bucket yields links that connect those of its members that may be similar, one a
+member at most. Components of all links are clusters: similar documents are in one cluster.
+Each cluster's texts then come together once, in one task, and there every document meets
+all that may be similar and are not in its group yet; one that its text bears out joins the
+group. So no pairs leave a task, and pairs that resemble each other nearly enough, but not
+enough, are no rows. A task holds the texts of one cluster at a time.
 
 Rows are told apart by id and text (an md5 of it), so different texts under one id are
 different documents. Of each group one stays: the smallest id, of equal ids the smallest md5.
@@ -50,16 +50,14 @@ HOPELESS = 4
 FEW = 32
 #: Counters of hashed shingles.
 COUNTERS = 1 << 18
-#: Links that are held at a time, and documents that one text meets in a task.
-LINKS, MET = 1 << 18, 512
-#: Rounds of meetings with the middle before pairs of different components meet.
-ROUNDS = 2
-#: Sets of at most so many shingles go with their hashes into the last round.
-TOLD = 256
+#: Buckets of up to so many members are compared pair by pair, all of a size at once.
+SMALL = 16
 #: Counters of one byte hold so many shingles.
 COUNTED = 255
 #: Buckets of more members are not compared with others for equal members.
 COMPARED = 1 << 16
+#: Buckets and clusters are taken whole.
+WHOLE = 1 << 62
 
 
 def salts(width: int) -> np.ndarray:
@@ -209,150 +207,63 @@ def farthest(similarity: float, width: int) -> int:
     return int(share * n + HOPELESS * math.sqrt(share * (1 - share) * n))
 
 
-def middle(fps: np.ndarray) -> int:
-    """Place of the fingerprint nearest to the majority of all."""
-    if len(fps) < 3:
-        return 0
-    ones = np.zeros(fps.shape[1] * BITS, np.int64)
-    for a in range(0, len(fps), DOCUMENTS_AT_ONCE):
-        ones += np.unpackbits(np.ascontiguousarray(fps[a : a + DOCUMENTS_AT_ONCE]).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    most = np.packbits(ones * 2 > len(fps), bitorder="little").view(np.uint64)
-    return int(np.bitwise_count(fps ^ most).sum(axis=1, dtype=np.int64).argmin())
-
-
-def alike(own: np.ndarray, n: np.ndarray, fp: np.ndarray, size: int, similarity: float, most: int) -> np.ndarray:
-    """Which of several documents may be this similar to one."""
+def alike(own: np.ndarray, n: np.ndarray, fp: np.ndarray, size: np.ndarray, similarity: float, most: int) -> np.ndarray:
+    """Which of several documents may be this similar to one, or each to its own."""
     small, large = np.minimum(n, size), np.maximum(n, size)
     near = small >= similarity * large - 1e-9
-    near[near] = (small[near] < FEW) | (np.bitwise_count(own[near] ^ fp).sum(axis=1, dtype=np.int64) <= most)
+    near &= (small < FEW) | (np.bitwise_count(own ^ fp).sum(axis=1, dtype=np.int64) <= most)
     return near
 
 
-def by_bucket(members: DataFrame, columns: list[str], schema: str, work_of_bucket) -> DataFrame:
-    """Rows that work(whether the bucket begins, its columns) yields for each bucket, put together up to LINKS rows at a time."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, found, held = None, [], 0
-        work = work_of_bucket()
-        for rows, starts, _ in runs(batches, COMPARED):
-            k = rows.column(0).to_numpy()
-            data = [column_of(rows.column(i), c) for i, c in enumerate(columns)]
-            for a, b in zip(starts.tolist(), np.append(starts[1:], len(k)).tolist(), strict=True):
-                for met in work(k[a] != key, [x[a:b] for x in data[1:]]):
-                    found.append(met)
-                    held += met.shape[1]
-                key = k[a]
-                if held > LINKS:
-                    yield together(found)
-                    found, held = [], 0
-        if held:
-            yield together(found)
-        trim()
-
-    def column_of(column: pa.Array, name: str) -> np.ndarray | list[np.ndarray]:
-        if name == "hashes":
-            return [np.frombuffer(x, np.uint64) for x in binary_rows(column)]
-        return words_of(column, column[0].as_buffer().size // 8) if name == "fp" else column.to_numpy()
-
-    def together(found: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], names)
-
-    return members.select(*columns).repartition("k").sortWithinPartitions("k", "first").mapInArrow(run, schema)
+def spread(m: int, meets) -> Iterator[tuple[int, np.ndarray]]:
+    """(a member, those that it brings into its group) until all of 0 to m - 1 have met; meets(i, others) tells which join i."""
+    rest = np.arange(m)
+    while len(rest):
+        front, rest = [int(rest[0])], rest[1:]
+        while front and len(rest):
+            i = front.pop()
+            hit = meets(i, rest)
+            if hit.any():
+                yield i, rest[hit]
+                front += rest[hit].tolist()
+                rest = rest[~hit]
 
 
-COLUMNS = ["k", "first", "n", "fp", "component"]
-
-
-def hub_links(members: DataFrame, similarity: float, width: int) -> DataFrame:
-    """members(COLUMNS) -> (a, b): of each bucket the document in the middle meets one of every other component, its nearest to the middle; of all these meetings each component keeps its nearest, so there is a link a component at most."""
+def met_links(members: DataFrame, similarity: float, width: int) -> DataFrame:
+    """members(k, first, n, fp) -> (a, b): of each bucket links that connect those that may be similar, one a member at most."""
     most = farthest(similarity, width)
 
-    def work_of_bucket():
-        hub: tuple = ()
-
-        def work(begins: bool, data: list[np.ndarray]) -> Iterator[np.ndarray]:
-            nonlocal hub
-            ids, n, fps, parts = data
-            if begins:
-                i = middle(fps)
-                hub = (ids[i], fps[i], n[i], parts[i])
-            hit = np.flatnonzero((parts != hub[3]) & alike(fps, n, hub[1], hub[2], similarity, most))
-            if len(hit):
-                far = np.bitwise_count(fps[hit] ^ hub[1]).sum(axis=1, dtype=np.int64)
-                order = np.lexsort((ids[hit], far, parts[hit]))
-                first = order[np.concatenate([[True], np.diff(parts[hit][order]) != 0])]
-                yield np.stack([parts[hit][first], far[first], ids[hit][first], np.full(len(first), hub[0])])
-
-        return work
-
-    met = by_bucket(members, COLUMNS, "component long, far long, a long, b long", work_of_bucket)
-    nearest = met.groupBy("component").agg(F.min(F.struct("far", "a", "b")).alias("m"))
-    return nearest.select(F.least("m.a", "m.b").alias("a"), F.greatest("m.a", "m.b").alias("b")).distinct()
-
-
-def jaccard_of(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Similarity of one sorted set of hashes with several."""
-    sizes = np.array([len(x) for x in others], np.int64)
-    every = np.concatenate(others)
-    there = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
-    both = np.add.reduceat(there, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
-    return both / (len(own) + sizes - both)
-
-
-def cross_links(members: DataFrame, similarity: float, width: int) -> DataFrame:
-    """members(COLUMNS, hashes) -> (a, b): in each bucket pairs that may be similar and are not in one component yet.
-
-    Where the hashes of both sets are at hand they decide, so such a link joins its two
-    components at once, and other pairs of these two need not meet: a link a member at most.
-    """
-    most = farthest(similarity, width)
-
-    def work_of_bucket():
-        before: list = []
-
-        def work(begins: bool, data: list) -> Iterator[np.ndarray]:
-            nonlocal before
-            fresh = len(data[0])
-            before = data if begins else [x + y if isinstance(x, list) else np.concatenate([x, y]) for x, y in zip(before, data, strict=True)]
-            ids, n, fps, parts, hashes = before
-            parts = parts.copy()
-            names, count = np.unique(parts, return_counts=True)
-            if len(names) < 2:
-                return
-            main = names[count.argmax()]
-            for i in np.flatnonzero(parts != main).tolist():  # each with the main component, and with others that come later
-                met = (parts != parts[i]) & ((parts == main) | (np.arange(len(ids)) > i))
-                if i < len(ids) - fresh:
-                    met[: len(ids) - fresh] = False  # met with an earlier slice
-                met = np.flatnonzero(met)
-                hit = met[alike(fps[met], n[met], fps[i], n[i], similarity, most)]
-                told = np.array([len(hashes[i]) > 0 and len(hashes[j]) > 0 for j in hit.tolist()], bool)
-                for j in hit[~told].tolist():
-                    yield np.sort(np.array([[ids[i]], [ids[j]]]), axis=0)
-                sure = hit[told]
-                if len(sure):
-                    sure = sure[jaccard_of(hashes[i], [hashes[j] for j in sure.tolist()]) >= similarity - 1e-9]
-                for j in sure.tolist():
-                    if parts[i] != parts[j]:
-                        parts[parts == parts[i]] = parts[j]
-                        yield np.sort(np.array([[ids[i]], [ids[j]]]), axis=0)
-            before[3] = parts
-
-        return work
-
-    return by_bucket(members, [*COLUMNS, "hashes"], "a long, b long", work_of_bucket).distinct()
-
-
-def set_hashes(texts: DataFrame, words: int) -> DataFrame:
-    """(first, hashes): the sorted hashes of each set of at most TOLD shingles; empty for larger ones."""
+    def of_small(ids: np.ndarray, n: np.ndarray, fps: np.ndarray, starts: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        """Of all buckets of one size, pair after pair; a pair that is connected already gives no link."""
+        at = starts[:, None] + np.arange(size)
+        x, y = (at[:, i] for i in np.triu_indices(size, 1))
+        near = alike(fps[x.ravel()], n[x.ravel()], fps[y.ravel()], n[y.ravel()], similarity, most).reshape(x.shape)
+        part = np.tile(np.arange(size), (len(starts), 1))
+        for i, j, hit in zip(*np.triu_indices(size, 1), near.T, strict=True):
+            fresh = np.flatnonzero(hit & (part[:, i] != part[:, j]))
+            if len(fresh):
+                yield np.stack([ids[at[fresh, i]], ids[at[fresh, j]]])
+                old, new = np.maximum(part[fresh, i], part[fresh, j]), np.minimum(part[fresh, i], part[fresh, j])
+                part[fresh] = np.where(part[fresh] == old[:, None], new[:, None], part[fresh])
+
+    def of_large(ids: np.ndarray, n: np.ndarray, fps: np.ndarray) -> Iterator[np.ndarray]:
+        for i, others in spread(len(ids), lambda i, rest: alike(fps[rest], n[rest], fps[i], n[i], similarity, most)):
+            yield np.stack([np.full(len(others), ids[i]), ids[others]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(hashed(t, words)) for t in binary_rows(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() if len(x) <= TOLD else b"" for x in sets], pa.binary())], ["first", "hashes"])
+        for rows, starts, _ in runs(batches, WHOLE):
+            ids, n, fps = rows.column(1).to_numpy(), rows.column(2).to_numpy(), words_of(rows.column(3), width)
+            size, found = np.diff(np.append(starts, len(ids))), []
+            for m in np.unique(size[(size > 1) & (size <= SMALL)]).tolist():
+                found += of_small(ids, n, fps, starts[size == m], m)
+            for a, m in zip(starts[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+                found += of_large(ids[a : a + m], n[a : a + m], fps[a : a + m])
+            if found:
+                links = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["a", "b"])
+        trim()
 
-    return texts.select("first", "t").mapInArrow(run, "first long, hashes binary")
+    return members.select("k", "first", "n", "fp").repartition("k").sortWithinPartitions("k", "first").mapInArrow(run, "a long, b long").distinct()
 
 
 def shingles(text: bytes, words: int) -> set[bytes]:
@@ -361,32 +272,49 @@ def shingles(text: bytes, words: int) -> set[bytes]:
     return set(map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)))
 
 
-def similar(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """links(a, b) and texts(first, t) -> the (a, b) whose sets of shingles have this Jaccard similarity or more.
-
-    The text of a comes first and those of all b after it, so each is read once; an a of
-    many b is dealt into several groups.
-    """
-    several = links.groupBy("a").agg(F.ceil(F.count("*") / MET).cast("int").alias("parts"))
-    dealt = links.join(several.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
-    heads = dealt.select("a", "part").distinct().join(texts.toDF("a", "t").hint("merge"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "t")
-    rows = heads.unionByName(dealt.join(texts.toDF("b", "t").hint("merge"), "b").select("a", "part", "b", "t"))
+def group_of(texts: list[bytes], n: np.ndarray, fps: np.ndarray, words: int, similarity: float, most: int) -> np.ndarray:
+    """Place of the first member of each one's group: groups are connected by pairs of this similarity or more."""
+    sets = [np.unique(hashed(t, words)) for t in texts]
+    names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes.astype(np.int32), np.cumsum([len(x) for x in sets])[:-1])
+    there, group = np.zeros(len(names), bool), np.arange(len(texts))
+
+    def meets(i: int, rest: np.ndarray) -> np.ndarray:
+        near = alike(fps[rest], n[rest], fps[i], n[i], similarity, most)
+        at = np.flatnonzero(near)
+        if not len(at):
+            return near
+        sizes = n[rest[at]].astype(np.int64)
+        there[codes[i]] = True
+        both = np.add.reduceat(there[np.concatenate([codes[j] for j in rest[at].tolist()])], np.cumsum(sizes) - sizes, dtype=np.int64)
+        there[codes[i]] = False
+        likely = both >= similarity * (n[i] + sizes - both) - 1e-9
+        near[at[~likely]] = False
+        own = shingles(texts[i], words) if likely.any() else set()
+        for j in at[likely].tolist():
+            other = shingles(texts[int(rest[j])], words)
+            near[j] = len(own & other) >= similarity * len(own | other)
+        return near
+
+    for i, others in spread(len(texts), meets):
+        group[others] = group[i]
+    return group
+
+
+def groups(members: DataFrame, words: int, width: int, similarity: float) -> DataFrame:
+    """members(cluster, first, n, fp, t) -> (first, component): the first of its group, for members of a cluster."""
+    most = farthest(similarity, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head: set[bytes] = set()
-        for batch in batches:
-            a, b, t = batch.column(0), batch.column(2), batch.column(3)
-            hit = []
-            for i in range(batch.num_rows):
-                own = shingles(binary_rows(t.slice(i, 1))[0], words)
-                if not b[i].is_valid:
-                    head = own
-                elif len(head & own) >= similarity * len(head | own):
-                    hit.append(i)
-            yield pa.RecordBatch.from_arrays([a.take(pa.array(hit, pa.int64())), b.take(pa.array(hit, pa.int64()))], ["a", "b"])
+        for rows, starts, _ in runs(batches, WHOLE):
+            ids, n, fps = rows.column(1).to_numpy(), rows.column(2).to_numpy(), words_of(rows.column(3), width)
+            found = []
+            for a, b in zip(starts.tolist(), np.append(starts[1:], len(ids)).tolist(), strict=True):
+                found.append(ids[a + group_of(binary_rows(rows.column(4).slice(a, b - a)), n[a:b], fps[a:b], words, similarity, most)])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], ["first", "component"])
         trim()
 
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b")).mapInArrow(run, "a long, b long")
+    return members.select("cluster", "first", "n", "fp", "t").repartition("cluster").sortWithinPartitions("cluster", "first").mapInArrow(run, "first long, component long")
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
@@ -395,39 +323,13 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     every = written(fingerprints(docs, id_column, text_column, words, width, similarity, levels), "wide")
     least = every.where("id is not null").groupBy("same").agg(F.min(F.struct("id", "body", "n", "fp", "rare")).alias("m"))
     classes = written(least.select("same", F.monotonically_increasing_id().alias("first"), "m.id", "m.body", "m.n", "m.fp", "m.rare"), "classes")
-    shared = written(shared_buckets(bucketed(classes)), "shared")
     known = classes.select("first", "n", "fp")
+    met = met_links(shared_buckets(bucketed(classes)).join(known, "first"), similarity, width)
+    clusters = written(components(met).toDF("first", "cluster"), "clusters")
 
-    def texts_of(first: DataFrame) -> DataFrame:
-        """(first, t) of these classes."""
-        wanted = classes.select("first", "id", "body").join(first, "first", "left_semi")
-        bodies = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t")).withColumn("body", body_of(F.col("t")))
-        return bodies.join(wanted, ["id", "body"]).dropDuplicates(["first"]).select("first", "t")
-
-    def confirmed(links: DataFrame) -> DataFrame:
-        """The links that the texts bear out."""
-        links = written(links, "links")
-        return similar(links, texts_of(links.select(F.explode(F.array("a", "b")).alias("first")).distinct()), words, similarity)
-
-    def parted(placed: DataFrame | None) -> DataFrame:
-        """Members of the buckets that hold several components."""
-        if placed is None:
-            rows = shared.withColumn("component", F.col("first"))
-        else:
-            rows = shared.join(placed, "first", "left").withColumn("component", F.coalesce("component", "first"))
-            several = rows.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("k")
-            rows = written(rows.join(several, "k", "left_semi"), "parted")
-        return rows.join(known, "first")
-
-    placed: DataFrame | None = None
-    for seek in [hub_links] * ROUNDS + [cross_links]:
-        members = parted(placed)
-        if seek is cross_links:
-            members = members.join(set_hashes(texts_of(members.select("first").distinct()), words), "first")
-        found = written(confirmed(seek(members, similarity, width)), "found")
-        edges = found if placed is None else placed.toDF("a", "b").where("a != b").unionByName(found)
-        placed = components(edges).toDF("first", "component")
-    joined = placed
+    wanted = classes.select("first", "id", "body", "n", "fp").join(clusters, "first")
+    bodies = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t")).withColumn("body", body_of(F.col("t")))
+    joined = groups(bodies.join(wanted, ["id", "body"]).dropDuplicates(["first"]), words, width, similarity)
     placed = classes.select("same", "first", "id", "body").join(joined, "first", "left").withColumn("component", F.coalesce("component", "first"))
     best = placed.groupBy("component").agg(F.min(F.struct("id", "body")).alias("best"))
     found = placed.join(best, "component").select("same", "best")

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from chartloom.llm import near_copies
-from chartloom.llm.common import mix
+from chartloom.llm.common import mix, written
 
 rng = random.Random(5)
 SCHEMA = "doc_id long, text string"
@@ -168,3 +168,54 @@ def test_groups_equal_those_of_all_pairs_of_the_test_table(spark):
     want = {i: root(i) for i in sets}
     got = {r["id"]: r["group"] for r in near_copies.near_copies(docs).collect()}
     assert got == want and sum(i != g for i, g in want.items()) > 20
+
+
+def test_pairs_that_are_not_similar_enough_are_no_rows(spark, monkeypatch):
+    """Of texts of one template, near each other but under the limit, no step writes a table that grows with their pairs."""
+    base, n = text(400), 300
+    rows = [(i, edited(base, 7)) for i in range(n)]
+    rows.append((n, edited(rows[5][1], 1)))
+    sims = [jaccard(rows[i][1], rows[i + 1][1]) for i in range(n - 1)]
+    assert all(0.6 < s < 0.8 for s in sims)
+    made = {}
+
+    def spied(df, label):
+        out = written(df, label)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "written", spied)
+    got = grouped(spark, rows)
+    texts = dict(rows)
+    apart = [i for i in texts if all(jaccard(texts[i], t) < 0.8 for j, t in rows if j != i)]
+    assert len(apart) > 0.9 * n and all(got[i] == i for i in apart)
+    assert got[n] == got[5]
+    assert max(made.values()) <= 100 * len(rows), made
+
+
+def test_bucket_links_connect_what_may_be_similar(spark):
+    """In small and large buckets, links connect the same members as all pairs do, one link a member at most."""
+    width, most = near_copies.WIDTH, near_copies.farthest(0.8, near_copies.WIDTH)
+    gen, rows, want = np.random.default_rng(3), [], set()
+    for k, size in enumerate([1, 2, 3, 5, 9, 16, 17, 40, 90]):
+        fps = gen.integers(0, 2**63, (4, width)).astype(np.uint64)[gen.integers(0, 4, size)]
+        for _ in range(110):
+            fps[np.arange(size), gen.integers(0, width, size)] ^= np.uint64(1) << gen.integers(0, 64, size).astype(np.uint64)
+        n = gen.integers(90, 120, size)
+        ids = 1000 * k + np.arange(size)
+        rows += [(k, int(i), int(m), fp.tobytes()) for i, m, fp in zip(ids, n, fps, strict=True)]
+        part = list(range(size))
+        for i in range(size):
+            for j in range(i):
+                if min(n[i], n[j]) >= 0.8 * max(n[i], n[j]) and np.bitwise_count(fps[i] ^ fps[j]).sum() <= most:
+                    part = [part[j] if x == part[i] else x for x in part]
+        want |= {frozenset(int(ids[i]) for i in range(size) if part[i] == p) for p in set(part) if part.count(p) > 1}
+    links = [(r["a"], r["b"]) for r in near_copies.met_links(spark.createDataFrame(rows, "k long, first long, n int, fp binary"), 0.8, width).collect()]
+    root = {i: {i} for r in links for i in r}
+    for a, b in links:
+        if root[a] is not root[b]:
+            root[a] |= root[b]
+            for i in root[b]:
+                root[i] = root[a]
+    assert {frozenset(x) for x in root.values()} == want
+    assert len(links) == sum(len(x) - 1 for x in want) and max(map(len, want)) > near_copies.SMALL
