@@ -1,6 +1,9 @@
-"""Operator 5 by similarity: rare shingles to meet, wide SimHash fingerprints to sift, texts to decide.
+"""Operator 5 by similarity: SimHash fingerprints and rare shingles to meet, wider fingerprints to sift, texts to decide.
 
-A document is the set of its shingles. Two sets of Jaccard similarity `similarity` or more
+A document is the set of its shingles. Documents meet in two ways. First as in op5_simhash:
+64-bit fingerprints within `RADIUS` bits, through covering masks. No search of so few bits
+reaches all pairs of a similarity as low as 0.8 (about 10 of 64 bits differ there), so the
+rest meets through shingles. Two sets of Jaccard similarity `similarity` or more
 share one of their rarest shingles: in any one order of all shingles, the first n -
 ceil(similarity n) + 1 of the n shingles of each. So documents meet in the buckets of
 these, in the order of a table of counts of hashed shingles; no similar pair is missed,
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import PRIME, binary_rows, forget_models, mix, trim, written
 from chartloom.llm.decontamination import summed
 from chartloom.llm.graph import components
-from chartloom.llm.simhash import BITS, chain_end
+from chartloom.llm.simhash import BITS, chain_end, fingerprint_links
 
 WORDS, WIDTH, SIMILARITY = 5, 12, 0.8
 SHINGLES_AT_ONCE, DOCUMENTS_AT_ONCE = 4096, 1024
@@ -50,6 +53,8 @@ HOPELESS = 4
 FEW = 32
 #: Counters of hashed shingles.
 COUNTERS = 1 << 18
+#: Fingerprints of 64 bits meet within so many, as in op5_simhash.
+RADIUS = 2
 #: Buckets of up to so many members are compared pair by pair, all of a size at once.
 SMALL = 16
 #: Counters of one byte hold so many shingles.
@@ -115,16 +120,16 @@ def rarest(distinct: np.ndarray, levels: np.ndarray, similarity: float) -> np.nd
 
 
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int, width: int, similarity: float, levels: np.ndarray) -> DataFrame:
-    """(id, body, same, n, fp, rare): md5 of the text, digest and size of the set of shingles, its fingerprint and its rarest shingles, as bytes."""
+    """(id, body, same, n, print, fp, rare): md5 of the text, digest and size of the set of shingles, its fingerprint of 64 bits and the wide one that begins with it, and its rarest shingles, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_models()
         for batch in batches:
             sets = [np.unique(hashed(t, words)) for t in binary_rows(batch.column(1))]
             values = [[f(x) for x in sets] for f in (set_digest, lambda x: majority(x, width), lambda x: rarest(x, levels, similarity).tobytes())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values[0], pa.binary()), pa.array([len(x) for x in sets], pa.int32()), pa.array(values[1], pa.binary()), pa.array(values[2], pa.binary())], ["id", "body", "same", "n", "fp", "rare"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values[0], pa.binary()), pa.array([len(x) for x in sets], pa.int32()), pa.array([int.from_bytes(x[: BITS // 8], "little", signed=True) for x in values[1]], pa.int64()), pa.array(values[1], pa.binary()), pa.array(values[2], pa.binary())], ["id", "body", "same", "n", "print", "fp", "rare"])
 
-    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t"), body_of(F.col(text_column)).alias("body")).mapInArrow(run, "id long, body binary, same binary, n int, fp binary, rare binary")
+    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t"), body_of(F.col(text_column)).alias("body")).mapInArrow(run, "id long, body binary, same binary, n int, print long, fp binary, rare binary")
 
 
 def body_of(text: Column) -> Column:
@@ -266,6 +271,13 @@ def met_links(members: DataFrame, similarity: float, width: int) -> DataFrame:
     return members.select("k", "first", "n", "fp").repartition("k").sortWithinPartitions("k", "first").mapInArrow(run, "a long, b long").distinct()
 
 
+def print_links(classes: DataFrame) -> DataFrame:
+    """classes(first, print) -> (a, b): links that connect all whose fingerprints lie within RADIUS bits, by operator 5's covering masks."""
+    least = written(classes.groupBy("print").agg(F.min("first").alias("first")).withColumnRenamed("print", "fp"), "prints")
+    across = fingerprint_links(least, RADIUS).join(least.toDF("x", "a"), "x").join(least.toDF("y", "b"), "y").select("a", "b")
+    return across.unionByName(classes.select("print", F.col("first").alias("b")).join(least.toDF("print", "a"), "print").where("a != b").select("a", "b"))
+
+
 def shingles(text: bytes, words: int) -> set[bytes]:
     found = text.lower().split()
     size = min(words, len(found))
@@ -321,11 +333,11 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """(id, body, group, stays) of each row: the smallest id reachable over links of documents this similar or more, and whether its text is the one that stays."""
     levels = rarity(docs, text_column, words)
     every = written(fingerprints(docs, id_column, text_column, words, width, similarity, levels), "wide")
-    least = every.where("id is not null").groupBy("same").agg(F.min(F.struct("id", "body", "n", "fp", "rare")).alias("m"))
-    classes = written(least.select("same", F.monotonically_increasing_id().alias("first"), "m.id", "m.body", "m.n", "m.fp", "m.rare"), "classes")
+    least = every.where("id is not null").groupBy("same").agg(F.min(F.struct("id", "body", "n", "print", "fp", "rare")).alias("m"))
+    classes = written(least.select("same", F.monotonically_increasing_id().alias("first"), "m.id", "m.body", "m.n", "m.print", "m.fp", "m.rare"), "classes")
     known = classes.select("first", "n", "fp")
     met = met_links(shared_buckets(bucketed(classes)).join(known, "first"), similarity, width)
-    clusters = written(components(met).toDF("first", "cluster"), "clusters")
+    clusters = written(components(met.unionByName(print_links(classes.where("n > 0")))).toDF("first", "cluster"), "clusters")
 
     wanted = classes.select("first", "id", "body", "n", "fp").join(clusters, "first")
     bodies = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t")).withColumn("body", body_of(F.col("t")))

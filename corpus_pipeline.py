@@ -27,7 +27,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of each group of linked documents the one of smallest id stays, once; rows without an id stay."""
+    """Operator 5: of each group of linked documents the one of smallest id stays, once; rows without an id stay.
+
+    Its fingerprints meet through its covering masks; pairs that are similar beyond that distance meet by rare shingles; texts decide.
+    """
     found = near_copies.near_copies(docs, words=WORDS, similarity=SIMILARITY)
     stay = found.where(F.col("stays") & F.col("id").isNotNull()).select(F.col("id").alias("_id"), F.col("body").alias("_body")).distinct()
     told = docs.where(F.col("doc_id").isNotNull()).withColumn("_body", near_copies.body_of(F.col("text"))).withColumnRenamed("doc_id", "_id")

@@ -219,3 +219,20 @@ def test_bucket_links_connect_what_may_be_similar(spark):
                 root[i] = root[a]
     assert {frozenset(x) for x in root.values()} == want
     assert len(links) == sum(len(x) - 1 for x in want) and max(map(len, want)) > near_copies.SMALL
+
+
+def test_fingerprints_meet_through_covering_masks(spark, monkeypatch):
+    """Without any shared shingle bucket, fingerprints within operator 5's distance still bring documents together, and texts decide."""
+    monkeypatch.setattr(near_copies, "shared_buckets", lambda keyed: keyed.limit(0))
+    rows = []
+    for i in range(30):
+        t = text(600)
+        rows += [(10 * i, t), (10 * i + 1, t + " end"), (10 * i + 2, edited(t, 60))]
+    prints = {i: int.from_bytes(near_copies.majority(np.unique(near_copies.hashed(t.encode(), 5)), near_copies.WIDTH)[:8], "little") for i, t in rows}
+    apart = {i: (prints[i] ^ prints[i + 1]).bit_count() for i in range(0, 300, 10)}
+    near = [i for i, d in apart.items() if d <= near_copies.RADIUS]
+    got = grouped(spark, rows)
+    assert len(near) >= 20 and any(apart[i] for i in near) and all(got[i + 1] == i for i in near)
+    assert all(got[i + 2] == i + 2 for i in range(0, 300, 10))
+    monkeypatch.setattr(near_copies, "print_links", lambda classes: classes.select(F.lit(0).cast("long").alias("a"), F.col("first").alias("b")))
+    assert grouped(spark, rows)[292] == 292
