@@ -3,8 +3,9 @@
 1. Document frequencies of hashed words over all 16-word blocks of all documents.
 2. A randomised SVD of TF-IDF passages: tasks multiply their passages with a Gaussian
    matrix and back, the sums A'(A G) are added up, and the Nystroem form of A'A gives the
-   right singular vectors. The basis is fitted on a bounded sample, the `fit_rows` documents
-   of smallest id hash and every benchmark passage, these with more weight.
+   right singular vectors. The basis is fitted on every document and every benchmark passage;
+   in any number, documents weigh together at most as `FIT_WEIGHT` of them, and each benchmark
+   passage as `ITEM_WEIGHT` of theirs, so a larger corpus does not crowd out the benchmark.
 3. Every passage of every document (2 or 4 blocks, a new one each block) is projected, and
    each benchmark passage with a cosine of at least `cosine` is a candidate.
 4. A candidate stands if the longest common subsequence of words of the region and the
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import mix, parts_for, prefix_hash, range_hash, trim, written
 
 FEATURES, RANK, BLOCK, SCALES, PIECE, LEAST, GROUP = 4096, 64, 16, (2, 4), 48, 8, 5_000
-COSINE, COPIED, REPHRASED, ANSWERED, FIT_ROWS, ITEM_WEIGHT = 0.62, 0.75, 0.65, 0.8, 4_000, 30.0
+COSINE, COPIED, REPHRASED, ANSWERED, FIT_WEIGHT, ITEM_WEIGHT = 0.62, 0.75, 0.65, 0.8, 4_000, 30.0
 #: Characters that are worked on at a time.
 SLICE = 1 << 20
 WORD_BYTE = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
@@ -316,7 +317,7 @@ def verified(texts: list[str | None], table: np.ndarray, passages: Passages, cos
         yield t, number, share, answer
 
 
-def latent_decontamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", cosine: float = COSINE, fit_rows: int = FIT_ROWS, row_key: Column | None = None) -> DataFrame:
+def latent_decontamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", cosine: float = COSINE, row_key: Column | None = None) -> DataFrame:
     """(doc_id, item_id, copied, answered) for each document row and item found in it, and row_key (of text) to tell rows of one id apart."""
     spark = docs.sparkSession
     key = F.lit("") if row_key is None else row_key
@@ -324,14 +325,12 @@ def latent_decontamination(docs: DataFrame, benchmark: DataFrame, id_column: str
     items = benchmark.where(F.octet_length(item_text) > 0).select(F.col(item_column).cast("long").alias("item"), F.col(item_text).alias("text")).distinct()
     kept = written(items.withColumn("group", F.pmod(F.xxhash64(F.coalesce("item", F.xxhash64("text"))), F.lit(parts_for(items.count(), GROUP)))), "items")
 
-    df = summed(rows, "text", lambda texts: block_frequencies(blocks_of(*word_hashes(texts))[0]), (FEATURES,), "int64")
+    counted = summed(rows, "text", lambda texts: np.append(block_frequencies(blocks_of(*word_hashes(texts))[0]), len(texts)), (FEATURES + 1,), "int64")
+    df, share = counted[:FEATURES], min(1.0, FIT_WEIGHT / max(1, int(counted[FEATURES])))
     idf = np.log((df.max(initial=0) + 2.0) / (df + 1.0)).astype(np.float32)
     g = gaussian()
-    ids = [r["id"] for r in rows.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(fit_rows).collect()]
-    chosen = spark.createDataFrame([(i,) for i in ids], "id long")
-    sample = rows.join(F.broadcast(chosen), "id", "left_semi")
     fit = lambda weight: lambda texts: range_sum(*blocks_of(*word_hashes(texts)), idf, g, weight)
-    y = summed(sample, "text", fit(1.0), (FEATURES, RANK), "float64") + summed(kept, "text", fit(ITEM_WEIGHT), (FEATURES, RANK), "float64")
+    y = summed(rows, "text", fit(share), (FEATURES, RANK), "float64") + summed(kept, "text", fit(ITEM_WEIGHT), (FEATURES, RANK), "float64")
     basis = np.concatenate([right_vectors(y, g) * idf[:, None], np.zeros((1, RANK), np.float32)])
 
     found, fields = None, "doc_id long, item_id long, copied double, answered double, row_key string"

@@ -498,6 +498,39 @@ def test_op8_searches_every_text_of_an_id(spark):
     assert got == [(0, 1), (1, 1), (2, 2), (3, None), (4, None), (5, None)]
 
 
+def test_op8_fits_on_every_document(spark, monkeypatch):
+    """Basis and frequencies come from all rows, null ids and those beyond any number included."""
+    docs = spark.createDataFrame([(None if i % 50 == 0 else i, f"w{i} w{i % 7} of a text") for i in range(4200)], SCHEMA)
+    items, counts, summed = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string"), [], decontamination.summed
+
+    def spied(rows, *rest):
+        counts.append(rows.count())
+        return summed(rows, *rest)
+
+    monkeypatch.setattr(decontamination, "summed", spied)
+    assert decontamination.latent_decontamination(docs, items).count() == 0
+    assert sorted(counts) == [1, 4200, 4200]
+
+
+def test_op8_recalls_what_all_windows_find(spark):
+    """Copies with a part of the words replaced: the latent vectors' candidates against every window with every passage."""
+    gen = random.Random(8)
+    text = lambda n: " ".join(f"w{int(3000 * gen.random() ** 3)}" for _ in range(n))
+    items = [(i, text(gen.randrange(26, 90))) for i in range(40)]
+    rows = [(i, text(200)) for i in range(400)]
+    for i in range(200):
+        words = items[i % 40][1].split()
+        for j in gen.sample(range(len(words)), int(len(words) * gen.choice([0, 0.1, 0.2, 0.3]))):
+            words[j] = f"x{gen.randrange(10**6)}"
+        rows.append((1000 + i, f"{text(gen.randrange(40))} {' '.join(words)} {text(60)}"))
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    of = lambda **kw: {(r["doc_id"], r["item_id"]) for r in decontamination.latent_decontamination(docs, bench, **kw).collect()}
+    every = of(cosine=-1.1)
+    found = of()
+    assert len(every) > 100 and found <= every
+    assert len(found) >= 0.9 * len(every), (len(found), len(every))
+
+
 def test_common_subsequence():
     for _ in range(50):
         a, b = [rng.randint(0, 4) for _ in range(rng.randint(0, 12))], [rng.randint(0, 4) for _ in range(rng.randint(0, 12))]
