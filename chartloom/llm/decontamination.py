@@ -43,6 +43,8 @@ FEATURES, RANK, BLOCK, SCALES, PIECE, LEAST, GROUP = 4096, 64, 16, (2, 4), 48, 8
 COSINE, COPIED, REPHRASED, ANSWERED, FIT_WEIGHT, ITEM_WEIGHT = 0.62, 0.75, 0.65, 0.8, 4_000, 30.0
 #: Characters that are worked on at a time.
 SLICE = 1 << 20
+#: Passages whose rows are held at a time.
+PASSAGES = 128
 WORD_BYTE = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 SENTENCE = re.compile(r"[.?!\n]+")
 
@@ -126,13 +128,16 @@ def range_sum(blocks: np.ndarray, at: np.ndarray, idf: np.ndarray, g: np.ndarray
     texts = np.repeat(np.arange(len(at) - 1), np.diff(at))
     passage = np.concatenate([[0], np.cumsum((np.diff(texts) != 0) | ((np.arange(1, len(texts)) - at[texts[1:]]) % 4 == 0))]) if len(texts) else texts
     n = int(passage[-1]) + 1 if len(passage) else 0
-    for a in range(0, n, 512):
-        low, high = np.searchsorted(passage, [a, a + 512])
-        a_rows = np.zeros((min(512, n - a), FEATURES + 1), np.float32)
-        np.add.at(a_rows, (np.repeat(passage[low:high] - a, BLOCK), blocks[low:high].ravel()), 1.0)
-        a_rows = a_rows[:, :FEATURES] * idf
-        a_rows *= np.sqrt(weight) / np.maximum(np.linalg.norm(a_rows, axis=1, keepdims=True), 1e-9)
-        out += a_rows.T @ (a_rows @ g)
+    scaled, flat = np.append(idf, np.float32(0)), np.zeros(PASSAGES * (FEATURES + 1), np.float32)
+    cuts = np.searchsorted(passage, np.arange(0, n + PASSAGES, PASSAGES))
+    for a, low, high in zip(range(0, n, PASSAGES), cuts, cuts[1:], strict=False):
+        place = (((passage[low:high] - a) * (FEATURES + 1))[:, None] + blocks[low:high]).ravel()
+        np.add.at(flat, place, scaled[blocks[low:high].ravel()])
+        rows = flat.reshape(PASSAGES, -1)[: min(PASSAGES, n - a), :FEATURES]
+        seen = rows @ g
+        seen *= (weight / np.maximum(np.einsum("ij,ij->i", rows, rows), 1e-18)).astype(np.float32)[:, None]
+        out += rows.T @ seen
+        flat[place] = 0
     return out
 
 
@@ -252,10 +257,12 @@ def short_candidates(values: np.ndarray, first: np.ndarray, passages: Passages)
     if not len(passages.pairs) or len(values) < 2:
         return
     pair = followers(values)
-    low, high = np.searchsorted(passages.pairs, pair), np.searchsorted(passages.pairs, pair, side="right")
-    at = np.flatnonzero(high > low)
-    n = (high - low)[at]
-    entry = np.arange(n.sum()) + np.repeat(low[at] - (np.cumsum(n) - n), n)
+    known, mask = np.zeros(1 << 16, bool), np.uint64((1 << 16) - 1)  # most pairs are told by their last bits
+    known[passages.pairs & mask] = True
+    at = np.flatnonzero(known[pair & mask])
+    low, high = (np.searchsorted(passages.pairs, pair[at], side=side) for side in ("left", "right"))
+    n = high - low
+    entry = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
     at, p, offset = np.repeat(at, n), passages.owner[entry], passages.offset[entry]
     order = np.lexsort((at, p))
     at, p, offset = at[order], p[order], offset[order]
