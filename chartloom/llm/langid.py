@@ -3,6 +3,7 @@
 The labelled words of each language become a suffix automaton. A text is parsed against
 each automaton, word by word, into the fewest longest matches; phrases are weighted with
 the logarithm of the automaton's size, and the language with the smallest total wins.
+The words of many texts are parsed together, by a table of the automaton.
 
 The automata are fitted on a bounded sample: of each language the row of smallest hash in
 each of `rows` hash buckets, whole; of the distinct words of these the ones that most rows
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import gc
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,9 +34,9 @@ from chartloom.llm.common import giving_way, model, positional
 
 ROWS, CHARS = 256, 20_000
 UNKNOWN = "und"
-LETTER, LETTERS = regex.compile(r"\p{L}"), regex.compile(r"\p{L}+")
-#: Phrase counts kept in a worker, and words, whichever is fewer; longer words are parsed anew each time.
-CELLS, CACHE, LONG_WORD = 400_000, 100_000, 48
+LETTERS, NO_LETTER = regex.compile(r"\p{L}+"), regex.compile(r"\P{L}")
+#: Characters of an automaton that have a column of its table; longest run walked by table; characters of texts worked on at a time.
+COLUMNS, LONG_RUN, SLICE = 128, 48, 1 << 18
 
 
 class SuffixAutomaton:
@@ -106,45 +108,117 @@ def labelled_words(train: DataFrame, id_column: str, text_column: str, label_col
     return {lang: " " + " ".join(words) + " " for lang, words in sorted(out.items())}
 
 
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Of each code point, whether it is a letter, as `LETTERS` says."""
+    out = np.zeros(0x110000, bool)
+    for low, high in ((0, 0xD800), (0xE000, 0x110000)):  # surrogates stand for no character
+        for run in LETTERS.finditer("".join(map(chr, range(low, high)))):
+            out[low + run.start() : low + run.end()] = True
+    return out
+
+
+class Steps:
+    """An automaton's transitions as a table, for many runs of letters at a time."""
+
+    def __init__(self, automaton: SuffixAutomaton, text: str, places: dict[str, int]) -> None:
+        self.automaton = automaton
+        common = {ch: i for i, (ch, _) in enumerate(Counter(" " + text).most_common(COLUMNS))}
+        common.setdefault(" ", len(common))
+        self.width = len(common) + 1  # the last column is for characters of no transition
+        self.column = np.full(len(places) + 1, self.width - 1, np.int64)
+        self.rare = np.zeros(len(places) + 1, bool)
+        for ch in set(text) - common.keys():
+            self.rare[places[ch]] = True
+        for ch, i in common.items():
+            self.column[places[ch]] = i
+        cells = [(state * self.width + common[ch], after * self.width) for state, row in enumerate(automaton.next) for ch, after in row.items() if ch in common]
+        self.flat = np.zeros(len(automaton.next) * self.width, np.int32 if len(automaton.next) * self.width < 1 << 31 else np.int64)
+        at, after = np.array(cells, np.int64).reshape(-1, 2).T
+        self.flat[at] = after
+
+    def phrases(self, places: np.ndarray, start: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """`SuffixAutomaton.phrases` of runs, longest first, that begin at start; active[k] of them are longer than k."""
+        column, state, count = self.column[places], np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        for k, n in enumerate(active.tolist()):
+            own = column[start[:n] + k]
+            after = self.flat[state[:n] + own]
+            miss = np.flatnonzero(after == 0)
+            again = self.flat[own[miss]]
+            count[miss] += 1 + ((state[miss] != 0) & (again == 0))
+            after[miss] = again
+            state[:n] = after
+        return count + (state != 0)
+
+
 class Parser:
-    """Costs of words in every language, remembered."""
+    """Costs of texts in every language: runs of letters of many texts walk each automaton together."""
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.langs = list(texts)
-        self.automata = [SuffixAutomaton(t) for t in texts.values()]
         self.weight = np.array([math.log2(len(t) + 1) for t in texts.values()])
-        self.known: dict[str, int] = {}
-        self.most = min(CACHE, CELLS // max(1, len(texts)))
-        self.costs = np.zeros((self.most, len(self.langs)), np.uint16)
-
-    def parse(self, word: str) -> list[int]:
-        runs = LETTERS.findall(word)
-        return [sum(a.phrases(f" {run} ") for run in runs) for a in self.automata]
-
-    def cost(self, text: str) -> np.ndarray:
-        known, at, extra = self.known, [], np.zeros(len(self.langs), np.int64)
-        for word in text.lower().split():
-            i = known.get(word)
-            if i is None:
-                if len(word) > LONG_WORD:
-                    extra += self.parse(word)
-                    continue
-                if len(known) == self.most:
-                    extra += self.costs[at].sum(axis=0, dtype=np.int64)
-                    at = []
-                    known.clear()
-                i = known[word] = len(known)
-                self.costs[i] = self.parse(word)
-            at.append(i)
-        return (extra + self.costs[at].sum(axis=0, dtype=np.int64)) * self.weight
+        alphabet = {ch: i for i, ch in enumerate(sorted(set(" ".join(["", *texts.values(), ""]))))}
+        self.space, self.places = alphabet.get(" ", 0), np.full(0x110000, len(alphabet), np.int32)
+        self.places[[ord(ch) for ch in alphabet]] = list(alphabet.values())
+        self.steps = [Steps(SuffixAutomaton(t), t, alphabet) for t in texts.values()]
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each text in each language, and its runs of letters."""
+        joined = f" {' '.join(texts)} "
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        inside = letters()[code]
+        places = np.where(inside, self.places[code], self.space)
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        start, size = edge[0::2], edge[1::2] - edge[0::2] + 2  # with the blank before and after
+        text = np.searchsorted(np.cumsum([1 + len(t) for t in texts]), start, side="right")
+        out = np.zeros((len(texts), len(self.langs)), np.int64)
+        order = np.argsort(-size, kind="stable")
+        order = order[np.searchsorted(-size[order], -LONG_RUN) :]
+        active = len(order) - np.searchsorted(size[order][::-1], np.arange(size[order].max(initial=0)), side="right")
+        for i, steps in enumerate(self.steps):
+            count = np.full(len(size), -1)
+            count[order] = steps.phrases(places, start[order], active)
+            if steps.rare.any():
+                count[np.searchsorted(start, np.flatnonzero(steps.rare[places]), side="right") - 1] = -1
+            for r in np.flatnonzero(count < 0).tolist():  # long runs, and those of a character without a column
+                count[r] = steps.automaton.phrases(f" {joined[start[r] + 1 : start[r] + size[r] - 1]} ")
+            out[:, i] = np.bincount(text, count, len(texts))
+        return out, np.bincount(text, minlength=len(texts))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        count, runs = np.zeros((len(texts), len(self.langs)), np.int64), np.zeros(len(texts), np.int64)
+        for own, parts in slices(texts):
+            found, seen = self.counts(parts)
+            np.add.at(count, own, found)
+            np.add.at(runs, own, seen)
+        cost = count * self.weight
+        best = cost.argmin(axis=1)
+        least = cost[np.arange(len(texts)), best]
+        score = 1 - least / np.maximum(np.partition(cost, 1, axis=1)[:, 1], 1.0) if len(self.langs) > 1 else np.ones(len(texts))
+        return [(self.langs[b], x) if n else (UNKNOWN, 0.0) for b, x, n in zip(best.tolist(), score.tolist(), runs.tolist(), strict=True)]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not LETTER.search(text):
-            return UNKNOWN, 0.0
-        cost = self.cost(text)
-        best = int(cost.argmin())
-        rest = np.delete(cost, best)
-        return self.langs[best], float(1 - cost[best] / max(rest.min(), 1.0)) if len(rest) else 1.0
+        return self.predict_all([text])[0]
+
+
+def slices(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """Lower-case texts, some at a time, and the number of each; long ones in parts that end before a character that is no letter."""
+    own, parts, size = [], [], 0
+    for i, t in enumerate(texts):
+        low, a = (t or "").lower(), 0
+        while a < len(low):
+            end = NO_LETTER.search(low, a + SLICE) if len(low) > a + SLICE else None
+            b = end.start() if end else len(low)
+            own.append(i)
+            parts.append(low[a:b])
+            size, a = size + b - a, b
+            if size >= SLICE:
+                yield own, parts
+                own, parts, size = [], [], 0
+    if own:
+        yield own, parts
 
 
 @model
@@ -162,7 +236,7 @@ def identify(docs: DataFrame, model: dict[str, str], text_column: str = "text")
         own = parser(texts)
         gc.freeze()  # a model lives as long as its worker
         for batch in batches:
-            found = [own.predict(t) for t in batch.column(at).to_pylist()]
+            found = own.predict_all(batch.column(at).to_pylist())
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
 

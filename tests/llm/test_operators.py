@@ -228,6 +228,24 @@ def test_op6_prediction_equals_plain_parsing():
         assert lang == min(cost, key=lambda x: (cost[x], x)) and score == pytest.approx(1 - min(cost.values()) / max(cost.values()))
 
 
+def test_op6_walks_runs_of_many_texts_together(monkeypatch):
+    """Distinct words cost no walk of their own, but long runs and characters without a column; results do not depend on it."""
+    texts = {lang: " " + " ".join(words) + " " for lang, words in LANGS.items()} | {"z": " " + " ".join(chr(0x4E00 + i) for i in range(300)) + " "}
+    own, walked, phrases = langid.Parser(texts), [], langid.SuffixAutomaton.phrases
+    monkeypatch.setattr(langid.SuffixAutomaton, "phrases", lambda self, run: walked.append(run) or phrases(self, run))
+    some = [" ".join("".join(rng.choice("abckläöztz") for _ in range(rng.randint(1, 12))) + rng.choice(["", "!", "9q"]) for _ in range(40)) for _ in range(50)]
+    together = own.predict_all(some)
+    assert not walked
+    odd = ["a" * 200 + " tzäv", "".join(chr(0x4E00 + i) for i in range(290, 320)), None, "", "12 !", "ΑΣ ΑΣΑ"]
+    both = own.predict_all(odd)
+    assert walked
+    monkeypatch.setattr(langid, "LONG_RUN", 0)  # every run by itself
+    assert own.predict_all(some) == together and own.predict_all(odd) == both
+    monkeypatch.setattr(langid, "SLICE", 7)
+    assert own.predict_all(some + odd) == together + both
+    assert [x[0] for x in both[2:5]] == ["und"] * 3
+
+
 def test_op6_ties_go_to_the_first_language():
     assert langid.Parser({"a": " same ", "b": " same "}).predict("same")[0] == "a"
 
