@@ -28,7 +28,6 @@ item of several texts, all searched; each repeated document row is a row of its
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -156,7 +155,10 @@ def right_vectors(y: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 
 class Passages(NamedTuple):
-    """Benchmark passages: the item of each, words, the answer's words, and their latent vectors."""
+    """Benchmark passages: the item of each, words, the answer's words, and their latent vectors.
+
+    Of passage p, `ids` from bounds[p] to bounds[p + 1] are its distinct words' places in `vocabulary`, `times` how often it has them.
+    """
 
     item: list[int | None]
     words: list[tuple[int, ...]]
@@ -167,6 +169,10 @@ class Passages(NamedTuple):
     pairs: np.ndarray
     owner: np.ndarray
     offset: np.ndarray
+    vocabulary: np.ndarray
+    ids: np.ndarray
+    times: np.ndarray
+    bounds: np.ndarray
 
 
 def followers(values: np.ndarray) -> np.ndarray:
@@ -197,7 +203,10 @@ def passages_of(items: list[tuple[int | None, str]], table: np.ndarray) -> Passa
             vectors.append(v / max(np.linalg.norm(v), 1e-9))
     pairs.sort()
     value, owner, offset = (np.array([x[i] for x in pairs], kind) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
-    return Passages(item, words, answers, np.array(scale, np.int64), np.array(vectors, np.float32).reshape(len(item), table.shape[1]), exact, value, owner, offset)
+    each = [np.unique(np.array(w, np.uint64), return_counts=True) for w in words]
+    vocabulary, ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *(v for v, _ in each)]), return_inverse=True)
+    times, bounds = np.concatenate([np.zeros(0, np.int16), *(n.astype(np.int16) for _, n in each)]), np.cumsum([0, *(len(v) for v, _ in each)])
+    return Passages(item, words, answers, np.array(scale, np.int64), np.array(vectors, np.float32).reshape(len(item), table.shape[1]), exact, value, owner, offset, vocabulary, ids.astype(np.int32), times, bounds)
 
 
 def common_subsequence(a: tuple[int, ...], b: list[int]) -> int:
@@ -228,13 +237,61 @@ def candidates(z: np.ndarray, at: np.ndarray, passages: Passages, cosine: float)
             continue
         unit = window / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
         for a in range(0, len(unit), 4096):
-            i, j = np.nonzero(unit[a : a + 4096] @ passages.vectors[own].T >= cosine)
+            i, j = np.divmod(np.flatnonzero(unit[a : a + 4096] @ passages.vectors[own].T >= cosine), len(own))
             found.append((i + a, own[j]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def thinned(text: np.ndarray, passage: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which candidates, in order of text, passage and first block, to look at: the region of the one before holds a next block's."""
+    begins = np.ones(len(start), bool)
+    begins[1:] = (text[1:] != text[:-1]) | (passage[1:] != passage[:-1]) | (start[1:] != start[:-1] + 1)
+    run = np.flatnonzero(begins)
+    return (np.arange(len(start)) - np.repeat(run, np.diff(np.append(run, len(start))))) % 2 == 0
+
+
+def places(values: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word its place in the vocabulary, beyond it if it has none, and where a word of the vocabulary stood last before."""
+    place, previous = np.full(len(values), len(vocabulary), np.int32), np.full(len(values), -1, np.int64)
+    known, mask = np.zeros(1 << 16, bool), np.uint64((1 << 16) - 1)  # most words are told by their last bits
+    known[vocabulary & mask] = True
+    at = np.flatnonzero(known[values & mask])
+    found = np.searchsorted(vocabulary, values[at])
+    ok = vocabulary[np.minimum(found, len(vocabulary) - 1)] == values[at]
+    at, found = at[ok], found[ok].astype(np.min_scalar_type(len(vocabulary)))
+    place[at] = found
+    order = np.argsort(found, kind="stable")
+    same = np.flatnonzero(found[order[1:]] == found[order[:-1]])
+    previous[at[order[same + 1]]] = at[order[same]]
+    return place, previous
+
+
+def words_held(values: np.ndarray, begin: np.ndarray, end: np.ndarray, passage: np.ndarray, passages: Passages) -> np.ndarray:
+    """Of each region and passage, how many of the passage's words are words of the region: no common subsequence is longer."""
+    out = np.zeros(len(begin), np.int64)
+    if not len(begin):
+        return out
+    place, previous = places(values, passages.vocabulary)
+    weight, reach = np.zeros(len(passages.vocabulary) + 1, np.int64), np.arange(int((end - begin).max()))
+    order = np.argsort(passage, kind="stable")
+    cuts = np.flatnonzero(np.diff(passage[order], prepend=-1, append=-1))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        p = int(passage[order[a]])
+        own = slice(passages.bounds[p], passages.bounds[p + 1])
+        weight[passages.ids[own]] = passages.times[own]
+        for c in range(a, b, 1024):
+            some = order[c : min(b, c + 1024)]
+            at = begin[some, None] + reach
+            inside = at < end[some, None]
+            at = np.minimum(at, len(values) - 1)
+            inside &= previous[at] < begin[some, None]  # a word counts where it stands first
+            out[some] = (weight[place[at]] * inside).sum(axis=1)
+        weight[passages.ids[own]] = 0
+    return out
+
+
 def word_for_word(values: np.ndarray, first: np.ndarray, passages: Passages) -> Iterator[tuple[int, int | None]]:
     """(text, item) of the items of few words."""
     if not passages.exact or not len(values):
@@ -288,20 +345,15 @@ def verified(texts: list[str | None], table: np.ndarray, passages: Passages, cos
     start, passage = candidates(z, at, passages, cosine)
     text = np.searchsorted(at, start, side="right") - 1
     order = np.lexsort((start, passage, text))
+    order = order[thinned(text[order], passage[order], start[order])]
+    start, passage, text = start[order], passage[order], text[order]
+    low = (start - at[text] - 1) * BLOCK
+    begin, end = first[text] + np.maximum(0, low), np.minimum(first[text + 1], first[text] + low + (passages.scale[passage] + 4) * BLOCK)
+    length = np.array([len(w) for w in passages.words], np.int64)[passage]
+    likely = np.flatnonzero(words_held(values, begin, end, passage, passages) >= min(REPHRASED, COPIED) * length)
     best: dict[tuple[int, int | None], tuple[float, float, int]] = {}
-    seen: tuple[int, int, int] | None = None
-    counts = {p: Counter(passages.words[p]) for p in set(passage.tolist())}
-    for i in order.tolist():
-        t, p, s = int(text[i]), int(passage[i]), int(start[i])
-        words = passages.words[p]
-        low = (s - int(at[t]) - 1) * BLOCK
-        if seen and seen[:2] == (t, p) and low - seen[2] < BLOCK * 2:  # the region before held this one
-            continue
-        seen = (t, p, low)
-        own = values[first[t] + max(0, low) : min(int(first[t + 1]), int(first[t]) + low + (int(passages.scale[p]) + 4) * BLOCK)].tolist()
-        there = counts[p].keys() & own
-        if sum(counts[p][w] for w in there) < min(REPHRASED, COPIED) * len(words):  # no subsequence can be longer
-            continue
+    for t, p, a, b in zip(*(x[likely].tolist() for x in (text, passage, begin, end)), strict=True):
+        words, own = passages.words[p], values[a:b].tolist()
         share = common_subsequence(words, own) / len(words)
         answer = common_subsequence(passages.answer[p], own) / len(passages.answer[p]) if passages.answer[p] else 0.0
         if share >= COPIED or share >= REPHRASED and answer >= ANSWERED:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import sys
 import time
 import zlib
 from collections import defaultdict
@@ -549,6 +550,30 @@ def test_op8_recalls_what_all_windows_find(spark):
     assert len(found) >= 0.9 * len(every), (len(found), len(every))
 
 
+def test_op8_looks_at_all_regions_together():
+    """Candidates cost no step of their own unless they hold enough of the passage's words, which plain counting confirms."""
+    gen = random.Random(18)
+    text = lambda n, of: " ".join(f"{of}{gen.randrange(60)}" for _ in range(n))
+    table = np.random.default_rng(8).standard_normal((decontamination.FEATURES + 1, 4)).astype(np.float32)
+    passages = decontamination.passages_of([(i, text(gen.choice([10, 22, 40, 48, 90]), "w")) for i in range(30)], table)
+    values, first = decontamination.word_hashes([text(300, gen.choice("wx")) for _ in range(20)] + ["", None])
+    begin = np.array([gen.randrange(len(values)) for _ in range(3000)])
+    end = np.minimum(len(values), begin + [gen.randrange(129) for _ in begin])
+    passage = np.array([gen.randrange(len(passages.words)) for _ in begin])
+    held = decontamination.words_held(values, begin, end, passage, passages)
+    for a, b, p, n in zip(begin, end, passage, held, strict=True):
+        there = set(values[a:b].tolist())
+        assert n == sum(w in there for w in passages.words[p])
+
+    texts, steps = [text(800, "x") for _ in range(8)], []
+    sys.setprofile(lambda *event: steps.append(event[1]))
+    try:
+        found = list(decontamination.verified(texts, table, passages, -1.1))
+    finally:
+        sys.setprofile(None)
+    assert not found and len(steps) < 8 * 50 * len(passages.words) / 2  # a half of the windows
+
+
 def test_common_subsequence():
     for _ in range(50):
         a, b = [rng.randint(0, 4) for _ in range(rng.randint(0, 12))], [rng.randint(0, 4) for _ in range(rng.randint(0, 12))]
