@@ -48,6 +48,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_in_buckets(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """`written`, in buckets by the hash of a column: rows that meet this table by that column come to it, it is not moved.
+
+    Only a catalog's table can have buckets; its name goes at once, its files stay for the table that is returned.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    name = f"spark_catalog.default.{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    WRITTEN.append(path)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Remove written tables that nothing reads any more."""
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

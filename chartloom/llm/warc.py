@@ -9,7 +9,8 @@ The index holds a capture (reversed-host key, page, segment, offset, length) per
 sorted, in compressed blocks of `BLOCK` captures, and apart from them a sparse directory of
 each block's first and last key. A look-up deals wanted keys and directory into sections by
 bisection of a bounded list of cuts, finds each key's blocks by bisection of its section,
-opens only these and there bisects again; records are then read by range.
+opens only these and there bisects again; records are then read by range. Segments lie in
+buckets by their number: the captures wanted go to the segments, the archive is not moved.
 
 Defined results: null payload is empty; null url has the empty key and no target header;
 pages with a null id are responses; rows that repeat id and payload give a response, if
@@ -30,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import binary_rows, parts_for, total_bytes, trim, written
+from chartloom.llm.common import binary_rows, parts_for, total_bytes, trim, written, written_in_buckets
 
 BLOCK, SEGMENT_BYTES = 128, 4 << 20
+#: Segments a bucket on average, which one task writes and reads; with more segments than `BUCKETS` allow, buckets hold more.
+BUCKET_SEGMENTS, BUCKETS = 4, 1 << 15
 #: Keys that part the directory into sections, at most; they go with every task of a look-up.
 CUTS = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -113,8 +116,9 @@ def records_in(data: bytes) -> Iterator[tuple[int, bytes]]:
 
 def write_archive(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", least: int = 0) -> Archive:
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), F.coalesce(F.col(payload_column).cast("binary"), F.lit(b"")).alias("payload"))
-    size = total_bytes(rows, "payload")
-    dealt = rows.withColumn("segment", F.pmod(F.xxhash64(F.coalesce("page_id", F.xxhash64("url"))), F.lit(parts_for(size, SEGMENT_BYTES))))
+    count = parts_for(total_bytes(rows, "payload"), SEGMENT_BYTES)
+    buckets = min(parts_for(count, BUCKET_SEGMENTS), BUCKETS)
+    dealt = rows.withColumn("segment", F.pmod(F.xxhash64(F.coalesce("page_id", F.xxhash64("url"))), F.lit(count)))
     facts = dealt.where(F.col("page_id").isNotNull() & (F.octet_length("payload") >= least)).select("page_id", "segment", F.sha1("payload").alias("digest"))
     first = facts.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     told = facts.distinct().join(first, "digest").select(F.col("segment").alias("at"), F.col("page_id").alias("page"), "digest", "first")
@@ -140,7 +144,9 @@ def write_archive(pages: DataFrame, id_column: str = "page_id", url_column: str
 
     entries = pa.list_(pa.struct([("key", pa.string()), ("page_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())]))
     schema = "segment long, data binary, entries array<struct<key: string, page_id: long, offset: long, length: long>>"
-    segments = written(dealt.groupBy("segment").cogroup(told.groupBy("at")).applyInArrow(write, schema), "warc")
+    # Both sides dealt as the buckets are: a task then writes one bucket, as one file.
+    met = dealt.repartition(buckets, "segment").groupBy("segment").cogroup(told.repartition(buckets, "at").groupBy("at"))
+    segments = written_in_buckets(met.applyInArrow(write, schema), "warc", "segment", buckets)
     return Archive(segments, *capture_index(segments))
 
 
@@ -233,7 +239,7 @@ def captures_of(blocks: DataFrame) -> DataFrame:
 
 
 def read_records(archive: Archive, captures: DataFrame) -> DataFrame:
-    """The records of captures, each read by its range of a segment."""
+    """The records of captures, each read by its range of a segment, where the segment lies."""
 
     def read(segments: pa.Table, captures: pa.Table) -> pa.Table:
         rows = []

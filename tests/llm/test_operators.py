@@ -457,6 +457,26 @@ def test_op7_small_payloads_are_responses(spark):
     assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+def test_op7_archive_is_not_moved_to_be_read(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SEGMENT_BYTES", 1 << 16)
+    rows = [(i, f"http://h{i % 37}.org/{i}", base64.b64encode(random.Random(i).randbytes(6000)).decode()) for i in range(300)]
+    archive = warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    size = archive.segments.agg(F.sum(F.octet_length("data")).alias("n")).first()["n"]
+    assert size > 300 * 6000 and archive.segments.count() > 20
+
+    def shuffled():
+        context = spark.sparkContext._jsc.sc()
+        context.listenerBus().waitUntilEmpty()
+        told = context.statusStore().executorList(False)
+        return sum(told.apply(i).totalShuffleWrite() for i in range(told.size()))
+
+    for found in (warc.lookup(archive, [u for _, u, _ in rows]), warc.read_archive(archive)):
+        before = shuffled()
+        assert sorted((r["page_id"], r["payload_digest"]) for r in found.collect()) == [(i, warc.digest_of(t.encode())) for i, _, t in rows]
+        assert shuffled() - before < size / 4
+    assert not [t.name for t in spark.catalog.listTables("spark_catalog.default") if t.name.startswith("warc_")]
+
+
 def test_op8_finds_copies_and_leaves_others(spark):
     words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
     some = lambda n: [rng.choice(words) for _ in range(n)]
