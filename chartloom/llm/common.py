@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's limit of an Arrow batch in bytes, and the one of `lean`.
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 MASK64 = (1 << 64) - 1
 PRIME = 0x9E3779B97F4A7C15 | 1
 PRIME_INV = pow(PRIME, -1, 1 << 64)
@@ -24,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lean(spark: SparkSession) -> None:
+    """Rows go to Python in batches of BATCH_BYTES, not of 10,000 rows of any length: an executor holds some at both ends. A limit that the session has set stays."""
+    if BATCH_LIMIT not in spark.conf.getAll:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir. One of our own only where that is unset and Spark runs in one process."""
     context = spark.sparkContext
@@ -159,9 +167,11 @@ def model(cached):
 
 def forget_models() -> None:
     """Drop what earlier operators left in this worker."""
-    for cached in MODELS:
+    held = [cached for cached in MODELS if cached.cache_info().currsize]
+    for cached in held:
         cached.cache_clear()
-    trim()
+    if held:
+        trim()
 
 
 def trim() -> None:

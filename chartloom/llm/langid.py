@@ -96,7 +96,7 @@ def labelled_words(train: DataFrame, id_column: str, text_column: str, label_col
     wanted = sorted({r["h"] for r in keys.select("h").collect()})  # at most `rows` for each language
     if not wanted:
         return {}
-    chosen = train.sparkSession.createDataFrame([(x,) for x in wanted], "h long")
+    chosen = train.sparkSession.createDataFrame(pa.table({"h": pa.array(wanted, pa.int64())}))  # from a list it would take Python workers of its own
     picked = base.withColumn("h", h).join(F.broadcast(chosen), "h", "left_semi").select(F.col(label_column).alias("lang"), F.col(text_column).alias("text"))
     each = picked.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word"))
     counted = each.groupBy("lang", "word").count()

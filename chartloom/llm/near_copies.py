@@ -101,6 +101,7 @@ def rarity(docs: DataFrame, text_column: str, words: int) -> np.ndarray:
     """A level of each counter of hashed shingles, on a log scale: any order serves, one by rarity serves best."""
 
     def count(texts: list[str | None]) -> np.ndarray:
+        forget_models()
         total = np.zeros(COUNTERS, np.int32)
         for a in range(0, len(texts), DOCUMENTS_AT_ONCE):
             found = [np.unique(hashed((t or "").encode(), words)) for t in texts[a : a + DOCUMENTS_AT_ONCE]]
@@ -128,6 +129,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int,
             sets = [np.unique(hashed(t, words)) for t in binary_rows(batch.column(1))]
             values = [[f(x) for x in sets] for f in (set_digest, lambda x: majority(x, width), lambda x: rarest(x, levels, similarity).tobytes())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values[0], pa.binary()), pa.array([len(x) for x in sets], pa.int32()), pa.array([int.from_bytes(x[: BITS // 8], "little", signed=True) for x in values[1]], pa.int64()), pa.array(values[1], pa.binary()), pa.array(values[2], pa.binary())], ["id", "body", "same", "n", "print", "fp", "rare"])
+        trim()
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t"), body_of(F.col(text_column)).alias("body")).mapInArrow(run, "id long, body binary, same binary, n int, print long, fp binary, rare binary")
 

@@ -1,18 +1,20 @@
 """The corpus pipeline: five stages over documents, each reread from the last one's Parquet.
 
 Every stage takes (spark, docs, sf_dir) and keeps the columns of documents, but for the
-last, which returns packed pieces. Stages judge all of their own input.
+last, which returns packed pieces. Stages judge all of their own input. They limit the bytes
+of the session's Arrow batches, unless the session does so itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm import decontamination, langid, near_copies, packing, suffix_array
-from chartloom.llm.common import WRITTEN, discard, table, written
+from chartloom.llm.common import WRITTEN, discard, lean, table, written
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near-duplicates: shingles of five words, and this similarity or more.
@@ -57,9 +59,19 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(docs.select("doc_id", "text"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", language), ("near_duplicates", near_duplicates), ("repeated_substrings", repeated_substrings), ("decontaminated", decontaminated), ("packed", packed),
-]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        lean(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [(stage.__name__, in_small_batches(stage)) for stage in (language, near_duplicates, repeated_substrings, decontaminated, packed)]
 
 #: Suffix automata, fingerprints of shingles, singular vectors and tokenizers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None

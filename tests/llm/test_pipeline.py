@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from chartloom.llm.common import WRITTEN, written
+from chartloom.llm import langid, near_copies
+from chartloom.llm.common import BATCH_BYTES, BATCH_LIMIT, WRITTEN, written
 
 rng = random.Random(11)
 EN = ["the", "of", "and", "with", "there", "others", "thing", "whether", "right", "shown"] + [f"th{a}{b}" for a in "aeiou" for b in "rnst"]
@@ -68,3 +70,64 @@ def test_texts_under_one_id_stand_alone(spark, corpus):
     assert kept == sorted([a, b])
     left = [r["text"] for r in corpus_pipeline.decontaminated(spark, docs, corpus).collect()]
     assert sorted(left) == sorted([a, b, a, rows[4][1]])
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_send_batches_of_few_bytes(spark, corpus, stage):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64()), pa.array([batch.nbytes], pa.int64())], ["rows", "bytes"])
+
+    spark.conf.unset(BATCH_LIMIT)
+    stage(spark, spark.read.parquet(f"{corpus}/documents.parquet"), corpus)
+    each = 100_000
+    found = spark.range(0, 100, 1, 1).selectExpr("id", f"repeat('x', {each}) text").mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 100
+    assert max(r["bytes"] for r in found) <= BATCH_BYTES + 2 * each
+
+
+def test_a_limit_of_the_session_stays(spark, corpus):
+    spark.conf.set(BATCH_LIMIT, "12345")
+    try:
+        corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{corpus}/documents.parquet"), corpus)
+        assert spark.conf.get(BATCH_LIMIT) == "12345"
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+
+
+def test_one_row_a_batch_gives_the_same(spark, corpus):
+    def outcome():
+        docs, kept = spark.read.parquet(f"{corpus}/documents.parquet"), []
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = written(stage(spark, docs, corpus), name)
+            kept.append(sorted((r["doc_id"] or -1, r["text"], r["lang"]) for r in docs.collect()))
+        return kept
+
+    try:
+        spark.conf.set(BATCH_LIMIT, str(1 << 28))
+        wide = outcome()
+        spark.conf.set(BATCH_LIMIT, "1")
+        assert outcome() == wide
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+
+
+def test_language_learns_without_python_rows(spark, corpus, monkeypatch):
+    given, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *rest, **more: given.append(data) or create(self, data, *rest, **more))
+    langid.cross_parse_language(spark.read.parquet(f"{corpus}/documents.parquet"))
+    assert given and not any(isinstance(x, list) for x in given)
+
+
+def test_counting_shingles_drops_models_of_earlier_stages(spark, monkeypatch):
+    left = []
+
+    def summed(docs, column, of_texts, shape, kind):
+        langid.parser((("en", " the "),))
+        of_texts(["some words of a text"])
+        left.append(langid.parser.cache_info().currsize)
+        return of_texts([])
+
+    monkeypatch.setattr(near_copies, "summed", summed)
+    near_copies.rarity(None, "text", 5)
+    assert left == [0]
