@@ -35,9 +35,17 @@ def upsert_lower(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
     return upsert(keyed(target), keyed(stage), ["_k"]).drop("_k")
 
 
+def by_encounter(rows: DataFrame, encounters: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join with the written encounters. Where they are too many to broadcast, a task hashes its part of them; to sort would hold all its rows as well."""
+    written = encounters.select("encounter_id").distinct()
+    most = written.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return rows.join(written if size <= most else written.hint("shuffle_hash"), "encounter_id", how)
+
+
 def swept_upsert(target: DataFrame, stage: DataFrame, encounters: DataFrame) -> DataFrame:
     """Merge then delete orphans of the written encounters: children embed their encounter, so both are one anti join."""
-    return target.join(encounters.select("encounter_id").distinct(), "encounter_id", "left_anti").unionByName(stage.select(*target.columns))
+    return by_encounter(target, encounters, "left_anti").unionByName(stage.select(*target.columns))
 
 
 def with_visit_ordinals(encounters: DataFrame) -> DataFrame:
@@ -182,7 +190,7 @@ class Warehouse:
         if given is not None:
             for name in SWEPT:
                 if name not in bundle:
-                    out[name] = self.read(name).join(given.select("encounter_id").distinct(), "encounter_id", "left_anti")
+                    out[name] = by_encounter(self.read(name), given, "left_anti")
         return self.refreshed(out)
 
     def write(self, bundle: dict[str, DataFrame]) -> int:

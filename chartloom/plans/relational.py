@@ -253,7 +253,7 @@ def sweep_after_merge(spark: SparkSession, d: str) -> DataFrame:
     """After a write of some parents, only the stage's children of those remain."""
     rows = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("encounter_id"), "l_linenumber", F.col("l_quantity").alias("q"))
     written = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("encounter_id"))
-    stage = rows.join(written, "encounter_id", "left_semi").where("l_linenumber > 1").withColumn("q", F.col("q") + 1)
+    stage = store.by_encounter(rows, written, "left_semi").where("l_linenumber > 1").withColumn("q", F.col("q") + 1)
     return store.swept_upsert(rows, stage, written)
 
 
